@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.names import dedupe_names
@@ -56,7 +56,7 @@ def list_csv(spark: SparkSession, folder: str) -> DataFrame:
     rows = []
     for entry in listing.collect():
         header = spark.read.option("header", "true").csv(entry.path, inferSchema=False).columns
-        rows.append((entry.path, entry.length, dedupe_names(h.lstrip("﻿") for h in header)))
+        rows.append((entry.path, entry.length, dedupe_names(h.lstrip("\ufeff") for h in header)))
     return spark.createDataFrame(rows, "path string, size bigint, columns array<string>")
 
 
@@ -73,6 +73,4 @@ def profile(df: DataFrame, name: str) -> DataFrame:
 
 def merge_metrics(old: DataFrame, new: DataFrame, key: str = "metric") -> DataFrame:
     """Upsert of run metrics: new values replace old ones of the same key, the others stay."""
-    ranked = old.withColumn("_age", F.lit(1)).unionByName(new.withColumn("_age", F.lit(0)))
-    latest = Window.partitionBy(key).orderBy("_age")
-    return ranked.withColumn("_place", F.row_number().over(latest)).where("_place = 1").drop("_place", "_age")
+    return old.join(new.select(key), key, "left_anti").unionByName(new)

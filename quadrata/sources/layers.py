@@ -28,7 +28,7 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> Dat
         encoding = "UTF-8" if invalid_utf8_lines(spark, path) == 0 else "ISO-8859-1"
     df = spark.read.options(**_QUOTING, multiLine="true", inferSchema="false").csv(path, encoding=encoding)
     # A byte-order mark sticks to the first header name.
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
 
 
 def invalid_utf8_lines(spark: SparkSession, path: str) -> int:

@@ -93,7 +93,7 @@ def snapshot_rollup(
     grouped = df.groupBy(*keys).agg(
         F.count_distinct(subarea).alias(subarea_count),
         *[zero_sum(c).cast("double").alias(o) for o, c in sums.items()],
-        *[F.avg(c).alias(o) for o, c in means.items()],
+        *[safe_ratio(F.sum(c).cast("double"), F.count(c)).alias(o) for o, c in means.items()],
     )
     known = {*sums, *means}
     return grouped.select(
@@ -106,17 +106,35 @@ def snapshot_rollup(
     )
 
 
+def located_parts(lat: Column | str, lon: Column | str) -> dict[str, Column]:
+    """Per-row terms of a located count: row, located row, and the coordinates where both exist."""
+    x = F.col(lat) if isinstance(lat, str) else lat
+    y = F.col(lon) if isinstance(lon, str) else lon
+    both = x.isNotNull() & y.isNotNull()
+    return {
+        "rows__sum": F.lit(1),
+        "located__sum": F.when(both, 1).otherwise(0),
+        "lat__sum": F.when(both, x),
+        "lon__sum": F.when(both, y),
+    }
+
+
+def located_from_parts(rows: str, located: str, mean_lat: str, mean_lon: str) -> list[Column]:
+    """Counts and mean coordinates out of summed terms; no located row gives null means."""
+    return [
+        F.col("rows__sum").alias(rows),
+        F.col("located__sum").alias(located),
+        safe_ratio(F.col("lat__sum").cast("double"), "located__sum").alias(mean_lat),
+        safe_ratio(F.col("lon__sum").cast("double"), "located__sum").alias(mean_lon),
+    ]
+
+
 def located_counts(
     df: DataFrame, keys: Sequence[str], lat: str, lon: str, rows: str, located: str, mean_lat: str, mean_lon: str
 ) -> DataFrame:
     """Rows, rows with both coordinates, and the mean coordinates over those rows."""
-    both = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(rows),
-        F.count_if(both).alias(located),
-        F.avg(F.when(both, F.col(lat))).alias(mean_lat),
-        F.avg(F.when(both, F.col(lon))).alias(mean_lon),
-    )
+    summed = df.groupBy(*keys).agg(*[F.sum(term).alias(name) for name, term in located_parts(lat, lon).items()])
+    return summed.select(*keys, *located_from_parts(rows, located, mean_lat, mean_lon))
 
 
 def wide_counts(
@@ -193,7 +211,7 @@ def group_means(df: DataFrame, key: str, means: Mapping[str, str], rows: str, di
     """Row count and means per group, optionally rounded."""
 
     def mean(col: str) -> Column:
-        value = F.avg(col)
+        value = safe_ratio(F.sum(col).cast("double"), F.count(col))
         return value if digits is None else F.round(value, digits)
 
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(rows), *[mean(c).alias(n) for n, c in means.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quadrata.functions.dates import iso_date, parse_date, parse_month, time_id
@@ -209,27 +209,34 @@ def _period_tests(spec: EventSpec):
     return readable, inside
 
 
-def reject_counters(derived: DataFrame, spec: EventSpec) -> DataFrame:
-    """Independent counters over all rows, in one pass; a row may be rejected for several reasons."""
+def reject_conditions(spec: EventSpec) -> dict[str, Column]:
+    """Independent conditions over all derived rows; a row may be rejected for several reasons."""
     readable, inside = _period_tests(spec)
     known = F.col(spec.labels.key).isNotNull()
     located = F.col(spec.lat).isNotNull() & F.col(spec.lon).isNotNull()
     in_box = inside_box(spec.lat, spec.lon, spec.lat_range, spec.lon_range)
     valid = known & inside
-    return counters(
-        derived,
-        {
-            "original_rows": F.lit(True),
-            "clean_rows": valid,
-            "flagged_rows": valid & (F.col(spec.flag) == 1),
-            "invalid_entity": ~known,
-            "unreadable_period": ~readable,
-            "outside_years": readable & ~inside,
-            "with_coordinates": valid & located,
-            "without_coordinates": valid & ~located,
-            "outside_box": valid & located & ~in_box,
-        },
-    )
+    return {
+        "original_rows": F.lit(True),
+        "clean_rows": valid,
+        "flagged_rows": valid & (F.col(spec.flag) == 1),
+        "invalid_entity": ~known,
+        "unreadable_period": ~readable,
+        "outside_years": readable & ~inside,
+        "with_coordinates": valid & located,
+        "without_coordinates": valid & ~located,
+        "outside_box": valid & located & ~in_box,
+    }
+
+
+def reject_counters(derived: DataFrame, spec: EventSpec) -> DataFrame:
+    """All counters as one row, from one pass."""
+    return counters(derived, reject_conditions(spec))
+
+
+def observe_rejects(derived: DataFrame, spec: EventSpec, observation: Observation) -> DataFrame:
+    """The same rows; whatever action runs on them also fills the counters of the observation."""
+    return derived.observe(observation, *[F.count_if(c).alias(n) for n, c in reject_conditions(spec).items()])
 
 
 def valid_events(derived: DataFrame, spec: EventSpec) -> DataFrame:

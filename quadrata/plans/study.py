@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.operators import quality as q
@@ -124,10 +124,14 @@ def run_study(
 ) -> Study:
     """All layers from the three raw sources.
 
-    With ``out`` the clean event layer, partitioned by year, is written once and the aggregates read it back;
-    the layers are written as Parquet. Without it everything stays a lazy plan.
+    With ``out`` the layers are written as Parquet: the clean event layer, partitioned by year, is written once
+    (its reject counters come from the same pass) and the aggregates read it back. Without it everything stays
+    a lazy plan.
     """
-    derived = s.derive_events(events, t.EVENTS)
+    derived, seen = s.derive_events(events, t.EVENTS), Observation()
+    rejects = s.reject_counters(derived, t.EVENTS)
+    if out:
+        derived = s.observe_rejects(derived, t.EVENTS, seen)
     clean = {
         "pobreza_clean": s.clean_survey(survey, t.SURVEY),
         "infraestructura_clean": s.clean_snapshot(snapshot, t.SNAPSHOT),
@@ -137,6 +141,7 @@ def run_study(
         for name, df in clean.items():
             write_layer(df, f"{out}/clean/{name}", partition_by=["anio_hecho_clean"] if name == "fgj_clean" else ())
         clean = {name: spark.read.parquet(f"{out}/clean/{name}") for name in clean}
+        rejects = spark.createDataFrame([tuple(seen.get.values())], [*seen.get])
     clean["fgj_robos_patrimoniales_clean"] = s.flagged_events(clean["fgj_clean"], t.EVENTS)
 
     analytics = {
@@ -182,7 +187,7 @@ def run_study(
         for name, df in tables.items():
             write_layer(df, f"{out}/dw/{name}")
         tables = {name: spark.read.parquet(f"{out}/dw/{name}") for name in tables}
-    return Study(clean, analytics, tables, s.reject_counters(derived, t.EVENTS))
+    return Study(clean, analytics, tables, rejects)
 
 
 def checks(study: Study) -> DataFrame:

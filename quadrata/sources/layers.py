@@ -81,3 +81,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     """Optional source: an empty table of the same schema if the path does not exist."""
     return read_layer(spark, path, schema, fmt) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()

@@ -64,8 +64,15 @@ def part_text() -> Column:
     return F.concat_ws(" ", "p_type", "p_name")
 
 
-def part_class() -> Column:
-    return classify_rules(text_key(part_text()), RULES, OTHER)
+def with_class(part: DataFrame, name: str = "class") -> DataFrame:
+    """Add the class. The key is a column of its own, so that it is computed once and not once per rule."""
+    keyed = part.withColumn("_key", text_key(part_text()))
+    return keyed.withColumn(name, classify_rules("_key", RULES, OTHER)).drop("_key")
+
+
+def part_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """(p_partkey, class)"""
+    return with_class(load(spark, folder, "part")).select("p_partkey", "class")
 
 
 _TXT = "upper(p_type || ' ' || p_name)"
@@ -117,8 +124,7 @@ def sales(
     hops = []
     if "class" in wanted:
         # A part is sold in few orders each: folding by (part, order) would not shrink anything.
-        part = load(spark, folder, "part").select("p_partkey", part_class().alias("class"))
-        hops.append(Hop(part, "l_partkey", "p_partkey", fold=False))
+        hops.append(Hop(part_classes(spark, folder), "l_partkey", "p_partkey", fold=False))
     if wanted - {"class"}:
         orders = load(spark, folder, "orders").select(
             "o_orderkey",

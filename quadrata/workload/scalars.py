@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from quadrata.functions import text as tx
 from quadrata.functions.dates import iso_date, parse_date, parse_month, time_id
-from quadrata.functions.numeric import coerce_numeric, row_mean, row_sum
+from quadrata.functions.numeric import coerce_numeric, keep_where, row_mean, row_sum
 from quadrata.operators.aggregates import located_from_parts, located_parts
-from quadrata.functions.numeric import keep_where
 from quadrata.plans.sources import add_entity_fields
 from quadrata.plans.territory import MONTH_NUMBERS
 from quadrata.session import load
@@ -21,7 +20,7 @@ from quadrata.workload.base import (
     NATIONS,
     money,
     on_lines,
-    part_class,
+    part_classes,
     query,
     rounded,
     sales,
@@ -111,8 +110,7 @@ def canonical_fallback(spark: SparkSession, folder: str) -> DataFrame:
     f"""SELECT p_partkey, {CLASS_SQL} AS class, CASE WHEN {CLASS_SQL} = 'OTHER' THEN 0 ELSE 1 END AS flag FROM part""",
 )
 def classify_rules(spark: SparkSession, folder: str) -> DataFrame:
-    classed = load(spark, folder, "part").select("p_partkey", part_class().alias("class"))
-    return classed.withColumn("flag", tx.flag_in("class", CLASSES))
+    return part_classes(spark, folder).withColumn("flag", tx.flag_in("class", CLASSES))
 
 
 @query("flagged_layer", f"SELECT p_partkey, {CLASS_SQL} AS class FROM part WHERE {CLASS_SQL} <> 'OTHER'")

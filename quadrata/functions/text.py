@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,8 +60,6 @@ def strip_accents(col: Column | str) -> Column:
 
 def strip_accents_nfkd(col: Column | str) -> Column:
     """Full NFKD for scripts outside the built-in blocks (Hangul, ideograph forms), as a vectorised UDF."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def decompose(values: pd.Series) -> pd.Series:
         def plain(value):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -139,9 +141,6 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
 
 
 def _euclidean_silhouette(df: DataFrame, features: str, cluster: str) -> float:
-    import numpy as np
-    import pandas as pd
-
     flat = df.select(vector_to_array(features).alias("x"), F.col(cluster).cast("int").alias("g"))
     bounded = flat.toPandas()  # at most EUCLIDEAN_ROW_LIMIT rows, checked by the caller
     points = df.sparkSession.sparkContext.broadcast((np.stack(bounded["x"].to_numpy()), bounded["g"].to_numpy()))

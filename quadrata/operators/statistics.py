@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,8 +88,6 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _t_two_sided(t: float, dof: float) -> float:
     """Two-sided tail of Student's t: the regularised incomplete beta function I_x(dof/2, 1/2)."""
-    import math
-
     a, b, x = dof / 2.0, 0.5, dof / (dof + t * t)
     if x >= 1.0 or x <= 0.0:
         return 1.0 if x >= 1.0 else 0.0
@@ -119,8 +119,6 @@ def _t_two_sided(t: float, dof: float) -> float:
 
 def linregress(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: n, slope, intercept, r, r_squared, std_err, t and the two-sided p-value of the slope."""
-    import pandas as pd
-
     @F.pandas_udf(T.DoubleType())
     def p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
         return pd.Series([_t_two_sided(a, b) if a == a and b > 0 else None for a, b in zip(t, dof)], dtype="float64")

@@ -1 +1,252 @@
-"""Queries."""
+"""Statistics and models over the driver tables and the panel."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quadrata.functions.numeric import row_mean
+from quadrata.operators import density, learning, ordered, statistics
+from quadrata.session import cut_lineage, load
+from quadrata.workload.base import CLASS_SQL, money, on_lines, part_classes, query, rounded
+from quadrata.workload.panels import PANEL_CTES, panel
+
+MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def lines_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of the line items; every seventh order has no discount, every ninth no tax."""
+    order = F.col("l_orderkey")
+    return load(spark, folder, "lineitem").select(
+        "l_quantity",
+        "l_extendedprice",
+        F.when(order % 7 != 0, F.col("l_discount")).alias("l_discount"),
+        F.when(order % 9 != 0, F.col("l_tax")).alias("l_tax"),
+        F.lit(2022.0).alias("constant"),
+    )
+
+
+_GAPS = """g AS (SELECT l_quantity, l_extendedprice, CASE WHEN l_orderkey % 7 <> 0 THEN l_discount END AS l_discount,
+ CASE WHEN l_orderkey % 9 <> 0 THEN l_tax END AS l_tax FROM lineitem)"""
+
+
+def _corr_sql(a: str, b: str) -> str:
+    if "constant" in (a, b):
+        return f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, CAST(NULL AS DOUBLE) AS corr"
+    return f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {rounded(f'corr({a}, {b})')} AS corr FROM g"
+
+
+@query(
+    "corr_matrix",
+    f"WITH {_GAPS} " + " UNION ALL ".join(_corr_sql(a, b) for a in (*MEASURES, "constant") for b in (*MEASURES, "constant")),
+)
+def corr_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return statistics.corr_matrix(lines_with_gaps(spark, folder), [*MEASURES, "constant"], 6)
+
+
+@query(
+    "target_corr",
+    on_lines(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, {rounded(f'corr({c}, target)')} AS corr FROM p"
+            for c in ("n_rows", "weight_sum", "price_wmean", "discount_wmean", "balance_total")
+        )
+        + " UNION ALL SELECT 'snapshot_year', CAST(NULL AS DOUBLE)) ORDER BY corr DESC NULLS LAST, feature",
+        PANEL_CTES,
+    ),
+)
+def target_corr(spark: SparkSession, folder: str) -> DataFrame:
+    features = ["n_rows", "weight_sum", "price_wmean", "discount_wmean", "balance_total", "snapshot_year"]
+    return statistics.target_corr(panel(spark, folder), features, "target", 6)
+
+
+@query(
+    "linregress",
+    f"""WITH m AS (SELECT count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS slope,
+      regr_intercept(l_extendedprice, l_quantity) AS intercept, corr(l_extendedprice, l_quantity) AS r,
+      var_pop(l_quantity) AS vx, var_pop(l_extendedprice) AS vy FROM lineitem)
+    SELECT n, {rounded("slope", 4)} AS slope, {rounded("intercept", 4)} AS intercept, {rounded("r")} AS r,
+     {rounded("r * r")} AS r_squared, {rounded("sqrt((1 - r * r) * vy / vx / (n - 2))")} AS std_err FROM m""",
+)
+def linregress(spark: SparkSession, folder: str) -> DataFrame:
+    fit = statistics.linregress(load(spark, folder, "lineitem"), "l_quantity", "l_extendedprice")
+    digits = {"slope": 4, "intercept": 4, "r": 6, "r_squared": 6, "std_err": 6}
+    return fit.select("n", *[(F.round(c, d) + 0.0).alias(c) for c, d in digits.items()])
+
+
+def _median_sql(column: str) -> str:
+    return f"coalesce({column}, (SELECT median({column}) FROM g)) AS {column}"
+
+
+@query("impute_median", f"WITH {_GAPS} SELECT l_quantity, l_extendedprice, {_median_sql('l_discount')}, {_median_sql('l_tax')} FROM g")
+def impute_median(spark: SparkSession, folder: str) -> DataFrame:
+    return statistics.impute_median(lines_with_gaps(spark, folder).drop("constant"), ["l_discount", "l_tax"])
+
+
+@query(
+    "column_medians",
+    f"WITH {_GAPS} "
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS n, median({c}) AS value FROM g" for c in MEASURES),
+)
+def column_medians(spark: SparkSession, folder: str) -> DataFrame:
+    return ordered.exact_quantiles(lines_with_gaps(spark, folder), MEASURES, 0.5)
+
+
+@query(
+    "zscore",
+    f"""WITH m AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM orders)
+    SELECT o_orderkey, {rounded("(o_totalprice - m) / s")} AS o_totalprice_z, CAST(0 AS DOUBLE) AS flat_z FROM orders, m""",
+)
+def zscore(spark: SparkSession, folder: str) -> DataFrame:
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice", F.lit(5.0).alias("flat"))
+    scaled = statistics.zscore(orders, ["o_totalprice", "flat"])
+    return scaled.select("o_orderkey", (F.round("o_totalprice_z", 6) + 0.0).alias("o_totalprice_z"), "flat_z")
+
+
+def _zcov_sql(a: str, b: str) -> str:
+    value = f"covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b}))"
+    return f"SELECT '{a}_z' AS feature_a, '{b}_z' AS feature_b, {rounded(value)} AS covariance FROM lineitem"
+
+
+@query(
+    "covariance",
+    " UNION ALL ".join(_zcov_sql(a, b) for i, a in enumerate(MEASURES) for b in MEASURES[i:]),
+)
+def covariance(spark: SparkSession, folder: str) -> DataFrame:
+    """Covariances of the z-scores, the matrix behind the principal components."""
+    scaled = statistics.zscore(load(spark, folder, "lineitem").select(*MEASURES), MEASURES)
+    return statistics.covariance_matrix(scaled, [f"{c}_z" for c in MEASURES], 6)
+
+
+@query("ols")
+def ols(spark: SparkSession, folder: str) -> DataFrame:
+    return learning.ols(load(spark, folder, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+
+
+@query(
+    "train_eval",
+    f"""WITH d AS (SELECT *, substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 4) < '3333' AS test FROM lineitem),
+    f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM d WHERE NOT test),
+    e AS (SELECT avg((l_extendedprice - a - b * l_quantity) ** 2) AS mse, var_pop(l_extendedprice) AS v FROM d, f WHERE test)
+    SELECT (SELECT count(*) FROM d WHERE NOT test) AS n_train, (SELECT count(*) FROM d WHERE test) AS n_test,
+     {rounded("1 - mse / v")} AS r2, {rounded("sqrt(mse)", 3)} AS rmse,
+     {rounded("sqrt(mse) / (SELECT avg(l_extendedprice) FROM d) * 100", 4)} AS error_pct FROM e""",
+)
+def train_eval(spark: SparkSession, folder: str) -> DataFrame:
+    scores = learning.train_eval(load(spark, folder, "lineitem"), "l_orderkey", ["l_quantity"], "l_extendedprice")
+    digits = {"r2": 6, "rmse": 3, "error_pct": 4}
+    return scores.select("n_train", "n_test", *[(F.round(c, d) + 0.0).alias(c) for c, d in digits.items()])
+
+
+@query("rf_importance")
+def rf_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature importances over the panel, for two feature sets, the second with a composite index."""
+    rows = cut_lineage(
+        panel(spark, folder).withColumn("rate_index", row_mean(["discount_wmean", "tax_wmean"]))
+    )
+    sets = {"single": ["price_wmean", "weight_sum"], "composite": ["rate_index", "weight_sum", "balance_total"]}
+    return learning.forest_importance(rows, sets, "target")
+
+
+def vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return load(spark, folder, "embeddings").select("vec_id", "label", array_to_vector("embedding").alias("features"))
+
+
+@query("kmeans_sweep")
+def kmeans_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    return learning.kmeans_sweep(vectors(spark, folder), range(2, 7), restarts=2)
+
+
+CLUSTER_FEATURES = ["target", "price_wmean", "weight_sum", "tax_wmean"]
+
+
+@query("cluster_profiles")
+def cluster_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Panel rows clustered on scaled features, with risk labels and principal components."""
+    rows = panel(spark, folder).select("nation", "year", *CLUSTER_FEATURES)
+    scaled = cut_lineage(learning.scaled_features(cut_lineage(rows), CLUSTER_FEATURES))
+    model = learning.best_kmeans(scaled, 3, restarts=5)
+    placed, _ = learning.pca(model.transform(scaled))
+    return learning.risk_profiles(placed, "prediction", "target").drop("features")
+
+
+@query("pca")
+def pca(spark: SparkSession, folder: str) -> DataFrame:
+    _, ratios = learning.pca(vectors(spark, folder))
+    return spark.createDataFrame(list(enumerate(ratios, 1)), "component int, explained_ratio double")
+
+
+@query(
+    "cluster_summary",
+    on_lines(
+        f"""SELECT class, count(*) AS n_rows, {rounded("CAST(sum(p_size) AS DOUBLE) / count(*)", 2)} AS mean_size,
+        {rounded("CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / count(*)", 2)} AS mean_price
+        FROM (SELECT {CLASS_SQL} AS class, * FROM part) GROUP BY class"""
+    ),
+)
+def cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
+    part = load(spark, folder, "part").select("p_partkey", "p_size", money("p_retailprice").alias("price"))
+    classed = part.join(part_classes(spark, folder), "p_partkey")
+    return learning.cluster_summary(classed, "class", {"mean_size": "p_size", "mean_price": "price"})
+
+
+@query(
+    "risk_profile",
+    """WITH m AS (SELECT o_orderstatus, row_number() OVER (ORDER BY avg(o_totalprice), o_orderstatus) - 1 AS k FROM orders GROUP BY o_orderstatus)
+    SELECT o_orderkey, o_orderstatus, CAST(k AS INTEGER) AS risk_id,
+     CASE k WHEN 0 THEN 'Riesgo bajo' WHEN 1 THEN 'Riesgo medio' WHEN 2 THEN 'Riesgo alto' END AS risk_label
+    FROM orders JOIN m USING (o_orderstatus)""",
+)
+def risk_profile(spark: SparkSession, folder: str) -> DataFrame:
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return learning.risk_profiles(orders, "o_orderstatus", "o_totalprice").drop("o_totalprice")
+
+
+# --- Density clustering of customers by balance and spending --------------------------------------------------------
+
+EPS = 40.0
+_POINTS = """pts AS (SELECT c_custkey AS id, c_acctbal AS x, coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0) / 1000 AS y
+ FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_acctbal),
+ near AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 40.0),
+ deg AS (SELECT a AS id, count(*) >= 3 AS core FROM near GROUP BY a)"""
+
+
+def points(spark: SparkSession, folder: str) -> DataFrame:
+    spent = load(spark, folder, "orders").groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("spent"))
+    customer = load(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    joined = customer.join(spent, F.col("c_custkey") == F.col("o_custkey"), "left")
+    total = F.coalesce(F.col("spent").cast("double"), F.lit(0.0))
+    return joined.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("x"), (total / 1000).alias("y"))
+
+
+@query("dbscan_core", f"WITH {_POINTS} SELECT id, core AS is_core FROM deg")
+def dbscan_core(spark: SparkSession, folder: str) -> DataFrame:
+    return density.dbscan_core(points(spark, folder), "id", ["x", "y"], EPS)
+
+
+@query(
+    "dbscan",
+    f"""WITH RECURSIVE {_POINTS},
+    e AS (SELECT a, b FROM near JOIN deg p ON p.id = a JOIN deg q ON q.id = b WHERE p.core AND q.core),
+    reach AS (SELECT id AS a, id AS b FROM deg WHERE core UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+    first AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+    num AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM first)),
+    c AS (SELECT id, cluster FROM first JOIN num USING (root)),
+    border AS (SELECT a AS id, min(cluster) AS cluster FROM near JOIN deg ON deg.id = a JOIN c ON c.id = b WHERE NOT core GROUP BY a)
+    SELECT deg.id, core AS is_core, CAST(coalesce(c.cluster, border.cluster, -1) AS INTEGER) AS cluster
+    FROM deg LEFT JOIN c ON c.id = deg.id LEFT JOIN border ON border.id = deg.id""",
+)
+def dbscan(spark: SparkSession, folder: str) -> DataFrame:
+    return density.dbscan(points(spark, folder), "id", ["x", "y"], EPS)
+
+
+@query("dbscan_sweep")
+def dbscan_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters, noise and silhouette of the panel rows per radius."""
+    rows = cut_lineage(panel(spark, folder).select((F.col("time_id") * 100 + F.col("entity_id")).alias("id"), *CLUSTER_FEATURES))
+    scaled = cut_lineage(learning.scaled_features(rows, CLUSTER_FEATURES))
+    arrays = vector_to_array("features")
+    parts = scaled.select("id", *[F.get(arrays, F.lit(i)).alias(f"z{i}") for i in range(len(CLUSTER_FEATURES))])
+    return density.dbscan_sweep(parts, "id", [f"z{i}" for i in range(len(CLUSTER_FEATURES))], (0.8, 1.6), 3, scaled)

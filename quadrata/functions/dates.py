@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quadrata.functions.numeric import try_double
-from quadrata.functions.text import text_key
+from quadrata.functions.text import lookup, text_key
 
 # Years a nanosecond timestamp can hold; the accepted input range of dates.
 FIRST_YEAR, LAST_YEAR = 1678, 2261
@@ -24,6 +24,12 @@ def iso_date(col: Column | str) -> Column:
     return F.date_format(col, "yyyy-MM-dd")
 
 
+def month_of_key(key: Column, names: Mapping[str, int]) -> Column:
+    """Month 1..12 of a text key that is a number or a month name, else null."""
+    table = {**{str(month): month for month in range(1, 13)}, **names}
+    return lookup(table, F.regexp_replace(key, "^0+(?=[0-9])", ""))
+
+
 def parse_month(col: Column | str, names: Mapping[str, int], numeric: bool = False) -> Column:
     """Month 1..12 from a whole number, digit text or a month name; anything else is null.
 
@@ -33,12 +39,7 @@ def parse_month(col: Column | str, names: Mapping[str, int], numeric: bool = Fal
     if numeric:
         whole = F.when(value == F.floor(value), value).try_cast("int")
         return F.when(whole.between(1, 12), whole)
-    key = text_key(value)
-    digits = F.when(key.rlike("^[0-9]+$"), key).try_cast("int")
-    table = F.create_map(*[F.lit(part) for item in names.items() for part in item])
-    return F.when(key.rlike("^[0-9]+$"), F.when(digits.between(1, 12), digits)).otherwise(
-        F.try_element_at(table, key)
-    )
+    return month_of_key(text_key(value), names)
 
 
 def time_id(year: Column | str, month: Column | str | int = 0) -> Column:
@@ -61,12 +62,11 @@ def time_attributes(
     """
     tid = F.col(key) if isinstance(key, str) else key
     month = (tid % 100).cast("int")
-    table = F.create_map(*[F.lit(part) for item in month_names.items() for part in item])
     snapshot = tid.isin(list(snapshot_keys)) if list(snapshot_keys) else F.lit(False)
     return {
         "year": F.floor(tid / 100).cast("int"),
         "month": month,
-        "month_name": F.when(month == 0, F.lit("anual")).otherwise(F.try_element_at(table, month)),
+        "month_name": F.when(month == 0, F.lit("anual")).otherwise(lookup(month_names, month)),
         "quarter": F.ceil(month / 3).cast("int"),
         "granularity": F.when(month != 0, F.lit("mensual"))
         .when(snapshot, F.lit("anual_snapshot"))

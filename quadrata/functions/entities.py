@@ -8,11 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrata.functions.text import strip_spaces, text_key
-
-
-def _lookup(table: Mapping, key: Column) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(p) for item in table.items() for p in item]), key)
+from quadrata.functions.text import lookup, strip_spaces, text_key, with_text_keys
 
 
 @dataclass(frozen=True)
@@ -28,24 +24,41 @@ class EntityCatalog:
     def __post_init__(self) -> None:
         object.__setattr__(self, "ids", {key: i for i, key in enumerate(self.keys, 1)})
 
-    def canonical(self, col: Column | str) -> Column:
-        """Key of a code (whole number, also as text such as ``010.0``) or of a spelling, else null."""
-        raw = strip_spaces((F.col(col) if isinstance(col, str) else col).cast("string"))
-        code = F.when(raw.rlike(r"^[0-9]+(\.0+)?$"), raw).try_cast("double").try_cast("int")
-        key = text_key(raw)
+    def _code(self, raw: Column) -> Column:
+        whole = F.when(raw.rlike(r"^[0-9]+(\.0+)?$"), raw).try_cast("double").try_cast("int")
+        return lookup(self.codes, whole)
+
+    def _spelling(self, key: Column) -> Column:
         if self.affixes:
             words = "|".join(self.affixes)
             key = F.regexp_replace(F.regexp_replace(key, rf"^({words})\s+", ""), rf"\s+({words})$", "")
-        return F.coalesce(_lookup(self.codes, code), _lookup(self.aliases, key))
+        return lookup(self.aliases, key)
+
+    def canonical(self, col: Column | str) -> Column:
+        """Key of a code (whole number, also as text such as ``010.0``) or of a spelling, else null."""
+        raw = strip_spaces((F.col(col) if isinstance(col, str) else col).cast("string"))
+        return F.coalesce(self._code(raw), self._spelling(text_key(raw)))
 
     def first_canonical(self, primary: Column | str, secondary: Column | str) -> Column:
         return F.coalesce(self.canonical(primary), self.canonical(secondary))
 
+    def with_canonical(self, df: DataFrame, out: str, *sources: Column | str) -> DataFrame:
+        """Add the canonical key of the first source that has one.
+
+        Same result as the expressions above, computed in steps so that no intermediate value is repeated.
+        """
+        raws, keys = [f"_raw_{i}" for i in range(len(sources))], [f"_text_{i}" for i in range(len(sources))]
+        columns = [F.col(s) if isinstance(s, str) else s for s in sources]
+        df = df.withColumns({r: strip_spaces(c.cast("string")) for r, c in zip(raws, columns, strict=True)})
+        df = with_text_keys(df, dict(zip(keys, raws, strict=True)))
+        found = [c for r, k in zip(raws, keys) for c in (self._code(F.col(r)), self._spelling(F.col(k)))]
+        return df.withColumn(out, F.coalesce(*found)).drop(*raws, *keys)
+
     def name(self, key: Column | str) -> Column:
-        return _lookup({k: k.title() for k in self.keys}, F.col(key) if isinstance(key, str) else key)
+        return lookup({k: k.title() for k in self.keys}, F.col(key) if isinstance(key, str) else key)
 
     def id(self, key: Column | str) -> Column:
-        return _lookup(dict(self.ids), F.col(key) if isinstance(key, str) else key)
+        return lookup(dict(self.ids), F.col(key) if isinstance(key, str) else key)
 
     def contains(self, key: Column | str) -> Column:
         return F.coalesce((F.col(key) if isinstance(key, str) else key).isin(list(self.keys)), F.lit(False))

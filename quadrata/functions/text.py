@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cache
 
@@ -43,18 +43,28 @@ def _is_ascii(col: Column) -> Column:
     return F.octet_length(col) == F.char_length(col)
 
 
+def lookup(table: Mapping, key: Column) -> Column:
+    """Value of a small fixed table, null for an unknown key; one constant map in the plan.
+
+    Keys and values may be text or integers.
+    """
+    pairs = "\x1e".join(f"{k}\x1f{v}" for k, v in table.items())
+    found = F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x1e"), F.lit("\x1f")), key.cast("string"))
+    return found.cast("int") if all(isinstance(v, int) for v in table.values()) else found
+
+
 def strip_accents(col: Column | str) -> Column:
     """Compatibility-decompose and drop combining marks.
 
     ASCII values pass through untouched. The rare characters that decompose to several letters are expanded
-    letter by letter, only in the values that hold one.
+    letter by letter, only in the values that hold one. The argument is used several times: pass a column
+    rather than a long expression.
     """
     text = F.col(col) if isinstance(col, str) else col
     source, target, dropped, expanded = _decompositions()
-    pairs = [F.lit(part) for item in expanded.items() for part in item]
-    table = F.create_map(*pairs)
-    letters = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
-    wide = F.when(text.rlike("[" + "".join(expanded) + "]"), F.concat_ws("", letters)).otherwise(text)
+    letters = F.transform(F.split(text, ""), lambda c: F.coalesce(lookup(expanded, c), c))
+    has_none = F.char_length(F.translate(text, "".join(expanded), "")) == F.char_length(text)
+    wide = F.when(has_none, text).otherwise(F.concat_ws("", letters))
     return F.when(_is_ascii(text), text).otherwise(F.translate(wide, source + dropped, target))
 
 
@@ -77,14 +87,26 @@ def strip_spaces(col: Column | str) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def _words(plain: Column) -> Column:
+    return F.trim(F.regexp_replace(F.upper(plain), "[^A-Z0-9]+", " "))
+
+
 def text_key(col: Column | str, plain: Column | None = None) -> Column:
     """Upper-case ASCII key: letters and digits, single blanks between words, empty becomes null.
 
     ``plain`` replaces the accent-free form, e.g. with :func:`strip_accents_nfkd`.
     """
-    base = strip_accents(col) if plain is None else plain
-    words = F.regexp_replace(F.upper(base), "[^A-Z0-9]+", " ")
-    return F.nullif(F.trim(words), F.lit(""))
+    return F.nullif(_words(strip_accents(col) if plain is None else plain), F.lit(""))
+
+
+def with_text_keys(df: DataFrame, keys: Mapping[str, Column | str]) -> DataFrame:
+    """Add text keys, ``{new column: source}``, in steps that compute every intermediate value once."""
+    stages = {name: f"_key_{i}" for i, name in enumerate(keys)}
+    raw = {stages[n]: F.col(s) if isinstance(s, str) else s for n, s in keys.items()}
+    df = df.withColumns(raw)
+    df = df.withColumns({c: strip_accents(c) for c in raw})
+    df = df.withColumns({c: _words(F.col(c)) for c in raw})
+    return df.withColumns({name: F.nullif(F.col(c), F.lit("")) for name, c in stages.items()}).drop(*raw)
 
 
 def title_label(key: Column | str) -> Column:

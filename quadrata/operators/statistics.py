@@ -13,32 +13,43 @@ from pyspark.sql import types as T
 from quadrata.operators.ordered import exact_quantiles
 
 
-def pearson(a: str, b: str) -> Column:
-    """Correlation over the rows where both exist; null for a constant column."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x), F.when(both, y)
-    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
-
-
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int | None = None) -> DataFrame:
-    """(feature_a, feature_b, corr) for the listed pairs, all from one aggregation."""
+    """(feature_a, feature_b, corr) for the listed pairs, all from one aggregation.
+
+    Each pair uses the rows where both values exist; a constant column gives null. The aggregation yields the
+    moments only, and the quotient is formed on one row per pair, which keeps the plan small.
+    """
+
+    def moments(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        return F.struct(
+            F.lit(a).alias("feature_a"),
+            F.lit(b).alias("feature_b"),
+            F.covar_pop(x, y).alias("cov"),
+            F.stddev_pop(F.when(both, x)).alias("sx"),
+            F.stddev_pop(F.when(both, y)).alias("sy"),
+        )
 
-    def value(a: str, b: str) -> Column:
-        return pearson(a, b) if digits is None else F.round(pearson(a, b), digits) + 0.0
+    rows = df.agg(F.array(*[moments(a, b) for a, b in pairs]).alias("pairs")).select(F.inline("pairs"))
+    spread = rows.withColumn("spread", F.col("sx") * F.col("sy"))
+    corr = F.when(F.col("spread") != 0, F.col("cov") / F.col("spread"))
+    return spread.select("feature_a", "feature_b", _rounded(corr, digits).alias("corr"))
 
-    structs = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), value(a, b).alias("corr")) for a, b in pairs]
-    return df.agg(F.array(*structs).alias("pairs")).select(F.inline("pairs"))
+
+def _rounded(value: Column, digits: int | None) -> Column:
+    return value if digits is None else F.round(value, digits) + 0.0
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """Long form of the symmetric matrix; the mirrored half is derived from the computed one."""
     upper = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    half = correlations(df, upper, digits)
-    mirrored = half.where("feature_a <> feature_b").select(
-        F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "corr"
+    a, b = F.col("feature_a"), F.col("feature_b")
+    sides = F.array_distinct(
+        F.array(F.struct(a.alias("row"), b.alias("column")), F.struct(b.alias("row"), a.alias("column")))
     )
-    return half.unionByName(mirrored)
+    mirrored = correlations(df, upper, digits).select("corr", F.inline(sides))
+    return mirrored.select(F.col("row").alias("feature_a"), F.col("column").alias("feature_b"), "corr")
 
 
 def target_corr(df: DataFrame, features: Sequence[str], target: str, digits: int | None = None) -> DataFrame:
@@ -67,17 +78,13 @@ def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFra
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """(feature_a, feature_b, covariance) of the upper triangle, population form."""
-
-    def value(a: str, b: str) -> Column:
-        cov = F.covar_pop(a, b)
-        return cov if digits is None else F.round(cov, digits) + 0.0
-
     structs = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), value(a, b).alias("covariance"))
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.covar_pop(a, b).alias("covariance"))
         for i, a in enumerate(columns)
         for b in columns[i:]
     ]
-    return df.agg(F.array(*structs).alias("pairs")).select(F.inline("pairs"))
+    rows = df.agg(F.array(*structs).alias("pairs")).select(F.inline("pairs"))
+    return rows.withColumn("covariance", _rounded(F.col("covariance"), digits))
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quadrata.functions.numeric import fill, share
+from quadrata.functions.text import lookup
 from quadrata.operators.schema import dtype_label
 from quadrata.operators.sets import common_periods
 
@@ -117,9 +118,8 @@ def feature_catalog(panel: DataFrame, rules: FeatureRules, dictionary: DataFrame
     if dictionary is None:
         return catalog
     names = {c: rules.base_name(c) for c in panel.columns}
-    base = F.create_map(*[F.lit(p) for item in names.items() for p in item])
     entries = dictionary.select(F.col("variable").alias("_variable"), F.col("description").alias("_text"))
-    joined = catalog.withColumn("_variable", base[F.col("feature_name")]).join(entries, "_variable", "left")
+    joined = catalog.withColumn("_variable", lookup(names, F.col("feature_name"))).join(entries, "_variable", "left")
     text = F.when(F.col("feature_role") == "feature", F.col("_text"))
     return joined.withColumn("description", F.coalesce(text, "description")).select(*CATALOG_SCHEMA.names)
 

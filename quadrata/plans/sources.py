@@ -8,11 +8,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quadrata.functions.dates import iso_date, parse_date, parse_month, time_id
+from quadrata.functions.dates import iso_date, month_of_key, parse_date, time_id
 from quadrata.functions.entities import EntityCatalog
 from quadrata.functions.names import normalize_columns, rename_if_absent
 from quadrata.functions.numeric import coerce_numeric, inside_box, stamp, try_double
-from quadrata.functions.text import Rule, classify_rules, flag_in, strip_spaces, text_key, title_label, trim_strings
+from quadrata.functions.text import (
+    Rule,
+    classify_rules,
+    flag_in,
+    strip_spaces,
+    title_label,
+    trim_strings,
+    with_text_keys,
+)
 from quadrata.operators.aggregates import (
     counters,
     counts_with_complement,
@@ -40,7 +48,7 @@ class Labels:
 
 def add_entity_fields(df: DataFrame, source: str, catalog: EntityCatalog, labels: Labels) -> DataFrame:
     """Canonical key, display name and id of the entity named or coded in a column."""
-    keyed = df.withColumn(labels.key, catalog.canonical(source))
+    keyed = catalog.with_canonical(df, labels.key, source)
     return keyed.withColumns({labels.name: catalog.name(labels.key), labels.id: catalog.id(labels.key)})
 
 
@@ -110,7 +118,7 @@ def clean_snapshot(df: DataFrame, spec: SnapshotSpec) -> DataFrame:
     """Rows of catalogued entities with sub-area key and label, provenance constants and cast numbers."""
     df = trim_strings(normalize_columns(df))
     df = add_entity_fields(df, spec.entity, spec.catalog, spec.labels)
-    df = df.withColumn(spec.subarea_key, text_key(spec.subarea))
+    df = with_text_keys(df, {spec.subarea_key: spec.subarea})
     df = df.withColumn(spec.subarea_name, title_label(spec.subarea_key))
     df = coerce_numeric(stamp(df, spec.constants), [*spec.sums.values(), *spec.means.values()])
     return df.where(F.col(spec.labels.key).isNotNull())
@@ -178,28 +186,29 @@ def derive_events(df: DataFrame, spec: EventSpec) -> DataFrame:
     df = trim_strings(normalize_columns(df))
     absent = {c: F.lit(None).cast("string") for c in spec.inputs() if c not in df.columns}
     df = df.withColumns(absent).select(*spec.inputs())
-    when, labels = parse_date(spec.date), spec.labels
+    labels = spec.labels
     df = df.withColumns(
         {
-            spec.clean_year: F.coalesce(try_double(spec.year), F.year(when)),
-            spec.clean_month: F.coalesce(F.month(when), parse_month(spec.month, spec.month_names)),
-            labels.key: spec.catalog.first_canonical(spec.entity, spec.fallback_entity),
+            "_date": parse_date(spec.date),
+            spec.start_date: iso_date(parse_date(spec.start_date)),
             spec.text: strip_spaces(spec.text),
             spec.category: strip_spaces(spec.category),
-            spec.text_key: text_key(spec.text),
             spec.lat: try_double(spec.lat),
             spec.lon: try_double(spec.lon),
-            spec.date: iso_date(when),
-            spec.start_date: iso_date(parse_date(spec.start_date)),
         }
     )
+    df = with_text_keys(df, {spec.text_key: spec.text, "_month": spec.month})
+    df = spec.catalog.with_canonical(df, labels.key, spec.entity, spec.fallback_entity)
     df = df.withColumns(
         {
+            spec.clean_year: F.coalesce(try_double(spec.year), F.year("_date")),
+            spec.clean_month: F.coalesce(F.month("_date"), month_of_key(F.col("_month"), spec.month_names)),
+            spec.date: iso_date("_date"),
             labels.name: spec.catalog.name(labels.key),
             spec.event_class: classify_rules(spec.text_key, spec.rules, spec.default_class),
         }
     )
-    return df.withColumn(spec.flag, flag_in(spec.event_class, spec.class_columns))
+    return df.withColumn(spec.flag, flag_in(spec.event_class, spec.class_columns)).drop("_date", "_month")
 
 
 def _period_tests(spec: EventSpec):
@@ -250,7 +259,7 @@ def valid_events(derived: DataFrame, spec: EventSpec) -> DataFrame:
             spec.subarea: F.coalesce(spec.subarea, spec.fallback_subarea),
         }
     )
-    return kept.withColumn(spec.subarea_key, text_key(spec.subarea)).select(*spec.clean_columns())
+    return with_text_keys(kept, {spec.subarea_key: spec.subarea}).select(*spec.clean_columns())
 
 
 def clean_events(df: DataFrame, spec: EventSpec) -> DataFrame:

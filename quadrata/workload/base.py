@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.entities import EntityCatalog
-from quadrata.functions.text import Rule, classify_rules, text_key
+from quadrata.functions.text import Rule, classify_rules, lookup, with_text_keys
 from quadrata.operators.along import Hop, sum_along
 from quadrata.plans.sources import EventSpec, Labels
 from quadrata.plans.territory import MONTH_NUMBERS, MONTHS
@@ -66,7 +66,7 @@ def part_text() -> Column:
 
 def with_class(part: DataFrame, name: str = "class") -> DataFrame:
     """Add the class. The key is a column of its own, so that it is computed once and not once per rule."""
-    keyed = part.withColumn("_key", text_key(part_text()))
+    keyed = with_text_keys(part, {"_key": part_text()})
     return keyed.withColumn(name, classify_rules("_key", RULES, OTHER)).drop("_key")
 
 
@@ -207,14 +207,13 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     )
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     nation = F.col("c_nationkey").cast("string")
-    names = F.create_map(*[F.lit(p) for item in MONTHS.items() for p in item])
     return rows.select(
         F.when(order % 13 == 0, " not a date ")
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
         .alias("Event Date"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("start_date"),
         F.when(order % 5 != 0, F.year("o_orderdate").cast("string")).alias("event_year"),
-        F.when(order % 26 == 0, "marz").otherwise(F.initcap(names[F.month("o_orderdate")])).alias("event_month"),
+        F.when(order % 26 == 0, "marz").otherwise(F.initcap(lookup(MONTHS, F.month("o_orderdate")))).alias("event_month"),
         F.when(order % 3 == 1, F.concat(F.lit("Country Nátion_"), nation))
         .when(order % 3 == 2, F.concat(F.lit(" "), nation))
         .alias("place"),

@@ -39,7 +39,8 @@ def strip_accents(spark: SparkSession, folder: str) -> DataFrame:
       '') AS text_key FROM documents""",
 )
 def text_key(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "documents").select("doc_id", tx.text_key("text").alias("text_key"))
+    keyed = tx.with_text_keys(load(spark, folder, "documents"), {"text_key": "text"})
+    return keyed.select("doc_id", "text_key")
 
 
 @query(
@@ -77,8 +78,8 @@ def canonical_entity(spark: SparkSession, folder: str) -> DataFrame:
         .when(pick == 3, F.concat(F.lit("NATION--"), nation, F.lit(" (State)")))
         .otherwise(F.concat(nation, F.lit(".5")))
     )
-    keyed = load(spark, folder, "customer").select("c_custkey", NATIONS.canonical(noisy).alias("entity_key"))
-    return keyed.where(NATIONS.contains("entity_key"))
+    keyed = NATIONS.with_canonical(load(spark, folder, "customer"), "entity_key", noisy)
+    return keyed.select("c_custkey", "entity_key").where(NATIONS.contains("entity_key"))
 
 
 @query(
@@ -149,7 +150,7 @@ def date_parts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def month_of_text(spark: SparkSession, folder: str) -> DataFrame:
     pick, month = F.col("o_orderkey") % 6, F.month("o_orderdate")
-    name = F.create_map(*[F.lit(p) for item in MONTHS.items() for p in item])[month]
+    name = tx.lookup(MONTHS, month)
     text = (
         F.when(pick == 0, F.concat(F.lit(" "), F.initcap(name)))
         .when(pick == 1, F.lpad(month.cast("string"), 2, "0"))

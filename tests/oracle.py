@@ -62,7 +62,7 @@ if __name__ == "__main__":
     from quadrata.session import build_session
 
     folder, names = sys.argv[1], sys.argv[2:] or list(REGISTRY)
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,23 @@ class EntityCatalog:
         whole = F.when(raw.rlike(r"^[0-9]+(\.0+)?$"), raw).try_cast("double").try_cast("int")
         return lookup(self.codes, whole)
 
+    # Words of a key are separated by single blanks.
+
+    def _without_prefix(self, key: Column) -> Column:
+        cut = [(key.startswith(f"{word} "), F.substring(key, len(word) + 2, 1 << 30)) for word in self.affixes]
+        bare = key
+        for starts, rest in reversed(cut):
+            bare = F.when(starts, rest).otherwise(bare)
+        return bare
+
+    def _without_suffix(self, key: Column) -> Column:
+        return F.regexp_replace(key, rf" ({'|'.join(self.affixes)})$", "") if self.affixes else key
+
+    def _has_suffix(self, key: Column) -> Column:
+        return reduce(lambda a, b: a | b, [key.endswith(f" {word}") for word in self.affixes], F.lit(False))
+
     def _spelling(self, key: Column) -> Column:
-        if self.affixes:
-            words = "|".join(self.affixes)
-            key = F.regexp_replace(F.regexp_replace(key, rf"^({words})\s+", ""), rf"\s+({words})$", "")
-        return lookup(self.aliases, key)
+        return lookup(self.aliases, self._without_suffix(self._without_prefix(key)))
 
     def canonical(self, col: Column | str) -> Column:
         """Key of a code (whole number, also as text such as ``010.0``) or of a spelling, else null."""
@@ -51,7 +64,10 @@ class EntityCatalog:
         columns = [F.col(s) if isinstance(s, str) else s for s in sources]
         df = df.withColumns({r: strip_spaces(c.cast("string")) for r, c in zip(raws, columns, strict=True)})
         df = with_text_keys(df, dict(zip(keys, raws, strict=True)))
-        found = [c for r, k in zip(raws, keys) for c in (self._code(F.col(r)), self._spelling(F.col(k)))]
+        df = df.withColumns({k: self._without_prefix(F.col(k)) for k in keys})
+        ends = {k: F.when(self._has_suffix(F.col(k)), self._without_suffix(F.col(k))).otherwise(F.col(k)) for k in keys}
+        df = df.withColumns(ends)
+        found = [c for r, k in zip(raws, keys) for c in (self._code(F.col(r)), lookup(self.aliases, F.col(k)))]
         return df.withColumn(out, F.coalesce(*found)).drop(*raws, *keys)
 
     def name(self, key: Column | str) -> Column:

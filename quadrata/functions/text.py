@@ -109,6 +109,16 @@ def with_text_keys(df: DataFrame, keys: Mapping[str, Column | str]) -> DataFrame
     return df.withColumns({name: F.nullif(F.col(c), F.lit("")) for name, c in stages.items()}).drop(*raw)
 
 
+def pin(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows, with the columns passed through a one-element array.
+
+    The optimiser moves a filter below the projections that compute its columns and writes their expressions
+    into it, once per reference; with several steps that multiplies. It does not move one below this.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
 def title_label(key: Column | str) -> Column:
     """Capital at the start of every run of letters, also after a digit (``1RA`` gives ``1Ra``)."""
     text = F.col(key) if isinstance(key, str) else key

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrata.operators.ordered import global_rank
+from quadrata.operators.ordered import global_ranks
 
 
 def cut(df: DataFrame, fixed: Mapping[str, object]) -> DataFrame:
@@ -54,6 +54,6 @@ def above_average(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 def composite_rank(df: DataFrame, measures: Sequence[str], name: str = "activity_rank") -> DataFrame:
     """Rank by the sum of the descending ranks of several measures."""
-    ranked = reduce(lambda d, m: global_rank(d, m, f"rank_{m}"), measures, df)
+    ranked = global_ranks(df, {f"rank_{m}": m for m in measures})
     scored = ranked.withColumn("rank_sum", reduce(lambda a, b: a + b, [F.col(f"rank_{m}") for m in measures]))
-    return global_rank(scored, "rank_sum", name, descending=False)
+    return global_ranks(scored, {name: "rank_sum"}, descending=False)

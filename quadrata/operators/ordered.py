@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,17 +47,29 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return numbered.select((F.col("_before") + 1).alias(name), *df.columns)
 
 
-def global_rank(df: DataFrame, by: str, name: str, descending: bool = True) -> DataFrame:
-    """Competition rank (ties share the smallest rank) over the whole table.
+def global_ranks(df: DataFrame, ranks: Mapping[str, str], descending: bool = True) -> DataFrame:
+    """Competition ranks over the whole table (ties share the smallest rank), ``{rank column: measure}``.
 
-    Equal values are counted first, so a value held by a third of all rows is a single row in the ordering.
+    All measures are ranked together. Equal values are counted first, so a value held by a third of all rows
+    is a single row in the ordering. Missing values come last.
     """
-    counted = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
-    ranks = running_total(counted, [order], F.col("_n"), "_before").select(
-        F.col(by).alias("_value"), (F.col("_before") + 1).alias(name)
-    )
-    return df.join(ranks, df[by].eqNullSafe(ranks["_value"]), "left").drop("_value")
+    measures = list(dict.fromkeys(ranks.values()))
+    long = df.select(*[F.col(m).cast("double").alias(m) for m in measures]).unpivot([], measures, "_measure", "_value")
+    counted = long.groupBy("_measure", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    value = F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_last()
+    placed = running_total(counted, [F.col("_measure"), value], F.col("_n"), "_before")
+    start = placed.groupBy("_measure").agg(F.min("_before").alias("_start"))
+    placed = placed.join(F.broadcast(start), "_measure")  # one row per measure
+    for name, measure in ranks.items():
+        rank = placed.where(F.col("_measure") == measure).select(
+            F.col("_value").alias("_v"), (F.col("_before") - F.col("_start") + 1).alias(name)
+        )
+        df = df.join(rank, F.col(measure).cast("double").eqNullSafe(F.col("_v")), "left").drop("_v")
+    return df
+
+
+def global_rank(df: DataFrame, by: str, name: str, descending: bool = True) -> DataFrame:
+    return global_ranks(df, {name: by}, descending)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5) -> DataFrame:

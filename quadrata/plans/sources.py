@@ -16,7 +16,7 @@ from quadrata.functions.text import (
     Rule,
     classify_rules,
     flag_in,
-    strip_spaces,
+    pin,
     title_label,
     trim_strings,
     with_text_keys,
@@ -48,7 +48,7 @@ class Labels:
 
 def add_entity_fields(df: DataFrame, source: str, catalog: EntityCatalog, labels: Labels) -> DataFrame:
     """Canonical key, display name and id of the entity named or coded in a column."""
-    keyed = catalog.with_canonical(df, labels.key, source)
+    keyed = pin(catalog.with_canonical(df, labels.key, source), labels.key)
     return keyed.withColumns({labels.name: catalog.name(labels.key), labels.id: catalog.id(labels.key)})
 
 
@@ -183,16 +183,14 @@ def derive_events(df: DataFrame, spec: EventSpec) -> DataFrame:
     month text; the entity is the primary field, else the secondary one. Only fields of the specification
     are kept, so unused source columns are never read.
     """
-    df = trim_strings(normalize_columns(df))
+    df = normalize_columns(df)
     absent = {c: F.lit(None).cast("string") for c in spec.inputs() if c not in df.columns}
-    df = df.withColumns(absent).select(*spec.inputs())
+    df = trim_strings(df.withColumns(absent).select(*spec.inputs()))
     labels = spec.labels
     df = df.withColumns(
         {
             "_date": parse_date(spec.date),
             spec.start_date: iso_date(parse_date(spec.start_date)),
-            spec.text: strip_spaces(spec.text),
-            spec.category: strip_spaces(spec.category),
             spec.lat: try_double(spec.lat),
             spec.lon: try_double(spec.lon),
         }
@@ -208,7 +206,8 @@ def derive_events(df: DataFrame, spec: EventSpec) -> DataFrame:
             spec.event_class: classify_rules(spec.text_key, spec.rules, spec.default_class),
         }
     )
-    return df.withColumn(spec.flag, flag_in(spec.event_class, spec.class_columns)).drop("_date", "_month")
+    df = df.withColumn(spec.flag, flag_in(spec.event_class, spec.class_columns)).drop("_date", "_month")
+    return pin(df, labels.key, spec.clean_year, spec.clean_month, spec.event_class, spec.flag)
 
 
 def _period_tests(spec: EventSpec):

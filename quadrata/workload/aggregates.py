@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrata.functions.numeric import share
+from quadrata.functions.numeric import safe_ratio, share
 from quadrata.operators import aggregates as ag
 from quadrata.operators import olap, ordered, sets
 from quadrata.plans.sources import clean_events, derive_events, reject_counters
@@ -17,7 +17,9 @@ from quadrata.workload.base import (
     CLASSES,
     EVENTS,
     YEARS,
+    cents,
     flagged_line,
+    hundredths,
     money,
     on_events,
     on_lines,
@@ -33,11 +35,7 @@ def counts(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
 
 
 def revenue(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
-    return sales(spark, folder, keys, {"n": F.lit(1), "revenue": money("l_extendedprice")})
-
-
-def as_double(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+    return sales(spark, folder, keys, {"n": F.lit(1), "revenue": cents("l_extendedprice")})
 
 
 REVENUE_SQL = "count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue"
@@ -88,32 +86,40 @@ def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
 WEIGHTED_VALUES = {"price": "l_extendedprice", "discount": "l_discount", "tax": "l_tax"}
 
 
+WEIGHTED_DIGITS = {"price": 4, "discount": 6, "tax": 6}
+
+
 def _weighted_sql(name: str, column: str) -> str:
-    value = f"CASE WHEN l_linenumber <> 3 THEN CAST({column} AS DECIMAL(18,2)) END"
-    weight = "CASE WHEN l_orderkey % 7 <> 0 THEN CAST(l_quantity AS DECIMAL(18,2)) END"
-    return f"""CAST(sum(({value}) * ({weight})) AS DOUBLE)
-      / nullif(CAST(sum(CASE WHEN l_linenumber <> 3 THEN {weight} END) AS DOUBLE), 0) AS {name}_wmean"""
+    weight = "CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END"
+    kept = f"CASE WHEN l_linenumber <> 3 THEN {weight} END"
+    mean = f"sum({column} * {kept}) / nullif(sum({kept}), 0)"
+    return f"{rounded(mean, WEIGHTED_DIGITS[name])} AS {name}_wmean"
 
 
-WEIGHTED_SQL = f"""SELECT nation, year, count(*) AS n_rows, coalesce(CAST(sum(CASE WHEN l_orderkey % 7 <> 0
- THEN CAST(l_quantity AS DECIMAL(18,2)) END) AS DOUBLE), 0) AS weight_sum,
+WEIGHTED_SQL = f"""SELECT nation, year, count(*) AS n_rows, coalesce(sum(CASE WHEN l_orderkey % 7 <> 0
+ THEN l_quantity END), 0) AS weight_sum,
  {", ".join(_weighted_sql(n, c) for n, c in WEIGHTED_VALUES.items())} FROM ev GROUP BY nation, year"""
 
 
+def weighted_terms() -> dict:
+    """Rows, weights and weighted values of the line items; values and weights have gaps."""
+    weight = F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity"))
+    values = {n: F.when(F.col("l_linenumber") != 3, F.col(c)) for n, c in WEIGHTED_VALUES.items()}
+    return {"n_rows": F.lit(1), "weight_sum": weight, **ag.weighted_parts(values, weight)}
+
+
+def weighted_columns() -> list:
+    means = [
+        (F.round(safe_ratio(f"{n}__num", f"{n}__den"), d) + 0.0).alias(f"{n}_wmean") for n, d in WEIGHTED_DIGITS.items()
+    ]
+    return ["n_rows", F.coalesce("weight_sum", F.lit(0.0)).alias("weight_sum"), *means]
+
+
 @query("weighted_mean", on_lines(WEIGHTED_SQL))
 def weighted_mean(spark: SparkSession, folder: str) -> DataFrame:
-    """Means weighted by quantity; values and weights have gaps."""
-    weight = F.when(F.col("l_orderkey") % 7 != 0, money("l_quantity"))
-    values = {n: F.when(F.col("l_linenumber") != 3, money(c)) for n, c in WEIGHTED_VALUES.items()}
-    terms = {"n_rows": F.lit(1), "weight_sum": weight, **ag.weighted_parts(values, weight)}
-    summed = sales(spark, folder, ["nation", "year"], terms)
-    return summed.select(
-        "nation",
-        "year",
-        "n_rows",
-        F.coalesce(F.col("weight_sum").cast("double"), F.lit(0.0)).alias("weight_sum"),
-        *ag.weighted_from_parts(list(values)),
-    )
+    """Means weighted by quantity, rounded for comparison."""
+    summed = sales(spark, folder, ["nation", "year"], weighted_terms())
+    return summed.select("nation", "year", *weighted_columns())
 
 
 SUPPLIER_SQL = """SELECT n_name AS nation, count(DISTINCT s_name) AS subarea_count,
@@ -284,7 +290,7 @@ def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("olap_slice", on_lines(f"SELECT nation, year, class, {REVENUE_SQL} FROM ev WHERE year = 1997 GROUP BY nation, year, class"))
 def olap_slice(spark: SparkSession, folder: str) -> DataFrame:
-    return olap.cut(as_double(revenue(spark, folder, ["nation", "year", "class"]), "revenue"), {"year": 1997})
+    return olap.cut(hundredths(revenue(spark, folder, ["nation", "year", "class"]), "revenue"), {"year": 1997})
 
 
 @query(
@@ -295,7 +301,7 @@ def olap_slice(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def olap_dice(spark: SparkSession, folder: str) -> DataFrame:
-    fact = as_double(revenue(spark, folder, ["nation", "year", "segment", "priority"]), "revenue")
+    fact = hundredths(revenue(spark, folder, ["nation", "year", "segment", "priority"]), "revenue")
     return olap.cut(fact, {"year": (1996, 1998), "segment": "BUILDING", "priority": ["1-URGENT", "2-HIGH"]})
 
 
@@ -310,7 +316,7 @@ def olap_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """The cells of the finest level are summed first; the subtotals expand only those."""
     cells = revenue(spark, folder, ["nation", "year", "month"])
     return olap.rollup(
-        cells, ["nation", "year", "month"], {"n": F.sum("n"), "revenue": F.sum("revenue").cast("double")}
+        cells, ["nation", "year", "month"], {"n": F.sum("n"), "revenue": F.sum("revenue") / 100}
     )
 
 
@@ -323,7 +329,7 @@ def olap_rollup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def olap_cube(spark: SparkSession, folder: str) -> DataFrame:
     cells = revenue(spark, folder, ["year", "class"])
-    return olap.cube(cells, ["year", "class"], {"n": F.sum("n"), "revenue": F.sum("revenue").cast("double")})
+    return olap.cube(cells, ["year", "class"], {"n": F.sum("n"), "revenue": F.sum("revenue") / 100})
 
 
 @query(
@@ -333,14 +339,14 @@ def olap_cube(spark: SparkSession, folder: str) -> DataFrame:
 def olap_drilldown(spark: SparkSession, folder: str) -> DataFrame:
     cells = olap.cut(revenue(spark, folder, ["nation", "year", "month", "class"]), {"nation": "NATION_3"})
     return olap.drill_down(
-        cells, ["year", "month", "class"], {"n": F.sum("n"), "revenue": F.sum("revenue").cast("double")}
+        cells, ["year", "month", "class"], {"n": F.sum("n"), "revenue": F.sum("revenue") / 100}
     )
 
 
 @query("totals", on_lines(f"SELECT class, {REVENUE_SQL} FROM ev GROUP BY class UNION ALL SELECT 'ALL', {REVENUE_SQL} FROM ev"))
 def totals(spark: SparkSession, folder: str) -> DataFrame:
     cells = olap.rollup(
-        revenue(spark, folder, ["class"]), ["class"], {"n": F.sum("n"), "revenue": F.sum("revenue").cast("double")}
+        revenue(spark, folder, ["class"]), ["class"], {"n": F.sum("n"), "revenue": F.sum("revenue") / 100}
     )
     return cells.select(F.when(F.col("level_id") == 1, "ALL").otherwise(F.col("class")).alias("class"), "n", "revenue")
 
@@ -361,7 +367,7 @@ def evolution(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def ranking(spark: SparkSession, folder: str) -> DataFrame:
-    return ordered.global_rank(as_double(revenue(spark, folder, ["nation"]), "revenue"), "revenue", "place")
+    return ordered.global_rank(hundredths(revenue(spark, folder, ["nation"]), "revenue"), "revenue", "place")
 
 
 @query(
@@ -369,7 +375,7 @@ def ranking(spark: SparkSession, folder: str) -> DataFrame:
     on_lines(f"SELECT nation, {REVENUE_SQL} FROM ev WHERE year = 1997 GROUP BY nation ORDER BY revenue DESC, nation LIMIT 10"),
 )
 def topk(spark: SparkSession, folder: str) -> DataFrame:
-    year = olap.cut(as_double(revenue(spark, folder, ["nation", "year"]), "revenue"), {"year": 1997}).drop("year")
+    year = olap.cut(hundredths(revenue(spark, folder, ["nation", "year"]), "revenue"), {"year": 1997}).drop("year")
     return ordered.top_k(year, [F.col("revenue").desc(), F.col("nation")], 10)
 
 
@@ -406,7 +412,7 @@ def yoy_change(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def high_high(spark: SparkSession, folder: str) -> DataFrame:
-    return olap.above_average(as_double(revenue(spark, folder, ["nation"]), "revenue"), ["n", "revenue"])
+    return olap.above_average(hundredths(revenue(spark, folder, ["nation"]), "revenue"), ["n", "revenue"])
 
 
 @query(
@@ -421,7 +427,7 @@ def high_high(spark: SparkSession, folder: str) -> DataFrame:
 def activity_rank(spark: SparkSession, folder: str) -> DataFrame:
     lines = load(spark, folder, "lineitem").groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(money("l_quantity")).cast("double").alias("quantity"),
-        F.sum(money("l_extendedprice")).cast("double").alias("revenue"),
+        F.sum(cents("l_quantity")).alias("quantity"),
+        F.sum(cents("l_extendedprice")).alias("revenue"),
     )
-    return olap.composite_rank(lines, ["n", "quantity", "revenue"])
+    return olap.composite_rank(hundredths(lines, "quantity", "revenue"), ["n", "quantity", "revenue"])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.entities import EntityCatalog
-from quadrata.functions.text import Rule, classify_rules, lookup, with_text_keys
+from quadrata.functions.text import Rule, classify_rules, lookup, pin, with_text_keys
 from quadrata.operators.along import Hop, sum_along
 from quadrata.plans.sources import EventSpec, Labels
 from quadrata.plans.territory import MONTH_NUMBERS, MONTHS
@@ -67,7 +67,7 @@ def part_text() -> Column:
 def with_class(part: DataFrame, name: str = "class") -> DataFrame:
     """Add the class. The key is a column of its own, so that it is computed once and not once per rule."""
     keyed = with_text_keys(part, {"_key": part_text()})
-    return keyed.withColumn(name, classify_rules("_key", RULES, OTHER)).drop("_key")
+    return pin(keyed.withColumn(name, classify_rules("_key", RULES, OTHER)).drop("_key"), name)
 
 
 def part_classes(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,10 +101,20 @@ SNAPSHOT_TIME = 199700
 
 
 def money(col: str) -> Column:
-    """Exact cents, so that sums do not depend on the order of the rows."""
+    """Exact amount of a small table."""
     return F.col(col).cast("decimal(18,2)")
 
 
+def cents(col: str) -> Column:
+    """Exact hundredths as whole numbers: sums do not depend on the order of the rows and stay in fast code."""
+    return F.rint(F.col(col) * 100).cast("bigint")
+
+
+def hundredths(df: DataFrame, *columns: str) -> DataFrame:
+    """Sums of :func:`cents` back as amounts."""
+    return df.withColumns({c: F.col(c) / 100 for c in columns})
+
+
 # --- Line items by nation, period and class ---------------------------------------------------------------------
 
 

@@ -20,7 +20,9 @@ from quadrata.workload.aggregates import (
     WEIGHTED_SQL,
     WEIGHTED_VALUES,
     snapshot_rollup,
+    weighted_columns,
     weighted_mean,
+    weighted_terms,
 )
 from quadrata.workload.base import (
     CLASSES,
@@ -31,7 +33,6 @@ from quadrata.workload.base import (
     SNAPSHOT_TIME,
     SOURCE_IDS,
     flagged_line,
-    money,
     on_lines,
     part_classes,
     query,
@@ -146,13 +147,9 @@ PANEL = PanelSpec(
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
     """Survey means, counts and classes come from one pass over the line items; the cells are few."""
-    weight = F.when(F.col("l_orderkey") % 7 != 0, money("l_quantity"))
-    values = {n: F.when(F.col("l_linenumber") != 3, money(c)) for n, c in WEIGHTED_VALUES.items()}
     classed = part_classes(spark, folder)
     terms = {
-        "n_rows": F.lit(1),
-        "weight_sum": weight,
-        **ag.weighted_parts(values, weight),
+        **weighted_terms(),
         **{name: F.when(F.col("class") == value, 1).otherwise(0) for value, name in CLASSES.items()},
     }
     cells = cut_lineage(
@@ -166,9 +163,7 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
         *keys,
         (F.col("nation_id") + 1).alias("entity_id"),
         time_id("year").alias("time_id"),
-        "n_rows",
-        F.coalesce(F.col("weight_sum").cast("double"), F.lit(0.0)).alias("weight_sum"),
-        *ag.weighted_from_parts(list(values)),
+        *weighted_columns(),
     )
     general = cells.select(*keys, F.col("n_rows").alias("total_lines"))
     total = sum((F.col(n) for n in CLASSES.values()), F.lit(0))

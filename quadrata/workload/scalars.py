@@ -18,7 +18,8 @@ from quadrata.workload.base import (
     LABELS,
     MONTHS,
     NATIONS,
-    money,
+    cents,
+    hundredths,
     on_lines,
     part_classes,
     query,
@@ -79,7 +80,7 @@ def canonical_entity(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat(nation, F.lit(".5")))
     )
     keyed = NATIONS.with_canonical(load(spark, folder, "customer"), "entity_key", noisy)
-    return keyed.select("c_custkey", "entity_key").where(NATIONS.contains("entity_key"))
+    return tx.pin(keyed.select("c_custkey", "entity_key"), "entity_key").where(NATIONS.contains("entity_key"))
 
 
 @query(
@@ -220,8 +221,8 @@ LOCATED_SQL = """count(*) AS n, count(*) FILTER (WHERE l_orderkey % 7 <> 0) AS l
 
 def located_sales(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     """Counts and mean coordinates; every seventh order has no first coordinate."""
-    lat = F.when(F.col("l_orderkey") % 7 != 0, money("l_discount"))
-    summed = sales(spark, folder, keys, located_parts(lat, money("l_tax")))
+    lat = F.when(F.col("l_orderkey") % 7 != 0, cents("l_discount"))
+    summed = hundredths(sales(spark, folder, keys, located_parts(lat, cents("l_tax"))), "lat__sum", "lon__sum")
     return summed.select(*keys, *located_from_parts("n", "located", "mean_lat", "mean_lon"))
 
 

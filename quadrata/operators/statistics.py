@@ -93,11 +93,11 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in columns if c in medians})
 
 
-def _t_two_sided(t: float, dof: float) -> float:
-    """Two-sided tail of Student's t: the regularised incomplete beta function I_x(dof/2, 1/2)."""
-    a, b, x = dof / 2.0, 0.5, dof / (dof + t * t)
-    if x >= 1.0 or x <= 0.0:
-        return 1.0 if x >= 1.0 else 0.0
+def student_tail():
+    """Function (t, dof) -> two-sided tail of Student's t: the incomplete beta function I_x(dof/2, 1/2).
+
+    It is built inside a function so that it travels to the Python workers by value.
+    """
 
     def fraction(p: float, q: float, z: float) -> float:
         tiny = 1e-300
@@ -118,17 +118,26 @@ def _t_two_sided(t: float, dof: float) -> float:
                 break
         return h
 
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * fraction(a, b, x) / a
-    return 1.0 - front * fraction(b, a, 1.0 - x) / b
+    def two_sided(t: float, dof: float) -> float:
+        a, b, x = dof / 2.0, 0.5, dof / (dof + t * t)
+        if x >= 1.0 or x <= 0.0:
+            return 1.0 if x >= 1.0 else 0.0
+        scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+        front = math.exp(scale + a * math.log(x) + b * math.log1p(-x))
+        if x < (a + 1.0) / (a + b + 2.0):
+            return front * fraction(a, b, x) / a
+        return 1.0 - front * fraction(b, a, 1.0 - x) / b
+
+    return two_sided
 
 
 def linregress(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: n, slope, intercept, r, r_squared, std_err, t and the two-sided p-value of the slope."""
+    two_sided = student_tail()
+
     @F.pandas_udf(T.DoubleType())
     def p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
-        return pd.Series([_t_two_sided(a, b) if a == a and b > 0 else None for a, b in zip(t, dof)], dtype="float64")
+        return pd.Series([two_sided(a, b) if a == a and b > 0 else None for a, b in zip(t, dof)], dtype="float64")
 
     both = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
     moments = both.agg(

@@ -11,32 +11,29 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Hop:
-    """A join to the table that carries more keys: ``fact_key = dim_key``.
-
-    ``fold`` sums the fact side over what is still needed before the join. A hot join key then reaches the
-    shuffle as a few rows per task. Leave it off where (nearly) every row has its own combination.
-    """
+    """A join to the table that carries more keys: ``fact_key = dim_key``."""
 
     dim: DataFrame
     fact_key: str
     dim_key: str
-    fold: bool = True
 
 
 def sum_along(
     fact: DataFrame, hops: Sequence[Hop], keys: Sequence[str], sums: Mapping[str, Column]
 ) -> DataFrame:
-    """Sum measures per ``keys``, folding partial sums before each join along the way.
+    """Sum measures per ``keys``, of which some are reached through joins.
 
-    The first fold and the join that follows share one partitioning, so folding adds no shuffle of its own.
-    Join strategies are left to the optimiser, which knows the size of each side.
+    While the fact still needs nothing but the key of the next join, its measures are summed per key first:
+    that fold and the join share one shuffle, and a hot key reaches it as one row per task. With more columns
+    to keep, a fold would need a shuffle of its own, so the rows are joined as they are and skewed partitions
+    are left to the adaptive skew join. Join strategies are chosen by the optimiser, which knows the sizes.
     """
     names = list(sums)
     link_keys = [hop.fact_key for hop in hops]
     df = fact.select(*[c for c in fact.columns if c in {*keys, *link_keys}], *[m.alias(n) for n, m in sums.items()])
     for position, hop in enumerate(hops):
-        if hop.fold:
-            needed = [c for c in df.columns if c in {*keys, *link_keys[position:]}]
+        needed = [c for c in df.columns if c in {*keys, *link_keys[position:]}]
+        if needed == [hop.fact_key]:
             df = df.groupBy(*needed).agg(*[F.sum(n).alias(n) for n in names])
         dim = hop.dim.withColumnRenamed(hop.dim_key, hop.fact_key)
         carried = [c for c in dim.columns if c == hop.fact_key or c in {*keys, *link_keys[position + 1 :]}]

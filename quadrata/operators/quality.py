@@ -130,6 +130,14 @@ def catalog_checks(
     )
 
 
+def forbidden_name_check(df: DataFrame, word: str, name: str, severity: str = CRITICAL) -> DataFrame:
+    """Number of columns whose name contains a word, in any case."""
+    found = sum(word.lower() in c.lower() for c in df.columns)
+    return df.sparkSession.createDataFrame(
+        [(name, severity, found == 0, found)], "check_name string, severity string, passed boolean, observed bigint"
+    )
+
+
 def schema_checks(df: DataFrame, contract: T.StructType, table: str) -> DataFrame:
     """Missing columns, wrong types and names that are not snake_case, from the schema alone."""
     actual = {f.name: f.dataType for f in df.schema}

@@ -236,6 +236,7 @@ def checks(study: Study) -> DataFrame:
                 "annual.conserved": q.not_conserved(t.TARGET, list(t.CLASS_COLUMNS.values())),
             },
         ),
+        q.forbidden_name_check(annual, t.OTHER_CLASS, "annual.excluded_column"),
         *[
             q.row_checks(
                 tables[name],

@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+
+
+def load_spread(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table for expensive row expressions: a small file of few splits is dealt out to all cores.
+
+    A scan that already has a split per core, as any large table has, is left as it is.
+    """
+    df = load(spark, folder, table)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -182,10 +182,11 @@ def heatmap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "value_ranges",
-    """WITH v AS (SELECT DISTINCT 'order_year' AS column_name, year(o_orderdate) AS value FROM orders
-     UNION SELECT DISTINCT 'order_month', month(o_orderdate) FROM orders)
-    SELECT column_name, CAST(min(value) AS BIGINT) AS min_value, CAST(max(value) AS BIGINT) AS max_value,
-     string_agg(CAST(value AS VARCHAR), ',' ORDER BY value) AS distinct_values FROM v GROUP BY column_name""",
+    """WITH v AS (SELECT 'order_year' AS column_name, year(o_orderdate) AS value FROM orders
+     UNION ALL SELECT 'order_month', month(o_orderdate) FROM orders)
+    SELECT column_name, CAST(value AS BIGINT) AS value, count(*) AS n,
+     CAST(min(min(value)) OVER (PARTITION BY column_name) AS BIGINT) AS min_value,
+     CAST(max(max(value)) OVER (PARTITION BY column_name) AS BIGINT) AS max_value FROM v GROUP BY column_name, value""",
 )
 def value_ranges(spark: SparkSession, folder: str) -> DataFrame:
     dates = load(spark, folder, "orders").select(

@@ -13,7 +13,7 @@ from quadrata.functions.text import Rule, classify_rules, lookup, pin, with_text
 from quadrata.operators.along import Hop, sum_along
 from quadrata.plans.sources import EventSpec, Labels
 from quadrata.plans.territory import MONTH_NUMBERS, MONTHS
-from quadrata.session import load
+from quadrata.session import load, load_spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -127,14 +127,13 @@ def sales(
 ) -> DataFrame:
     """Sums of line-item terms per any of: class, year, month, priority, nation_id, nation, segment.
 
-    Only the tables that carry a requested key are joined, and partial sums are folded before every shuffle.
+    Only the tables that carry a requested key are joined.
     """
     wanted = set(keys)
     fact = lines(load(spark, folder, "lineitem"))
     hops = []
     if "class" in wanted:
-        # A part is sold in few orders each: folding by (part, order) would not shrink anything.
-        hops.append(Hop(part_classes(spark, folder), "l_partkey", "p_partkey", fold=False))
+        hops.append(Hop(part_classes(spark, folder), "l_partkey", "p_partkey"))
     if wanted - {"class"}:
         orders = load(spark, folder, "orders").select(
             "o_orderkey",
@@ -208,7 +207,7 @@ EVENTS = EventSpec(
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    lineitem, part = load(spark, folder, "lineitem"), load(spark, folder, "part")
+    lineitem, part = load_spread(spark, folder, "lineitem"), load(spark, folder, "part")
     orders, customer = load(spark, folder, "orders"), load(spark, folder, "customer")
     rows = (
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

@@ -14,7 +14,7 @@ from quadrata.plans import star
 from quadrata.plans.panel import FeatureRule, FeatureRules, PanelSpec, build_panel, feature_catalog, modeling_panel
 from quadrata.plans.sources import SnapshotSpec, SurveySpec, aggregate_survey, clean_snapshot, clean_survey
 from quadrata.plans.territory import MONTHS
-from quadrata.session import cut_lineage, load
+from quadrata.session import cut_lineage, load, load_spread
 from quadrata.workload.aggregates import (
     SUPPLIER_SQL,
     WEIGHTED_SQL,
@@ -67,7 +67,7 @@ def raw_survey(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as weighted survey rows, as text, with unreadable weights and years."""
     order = F.col("l_orderkey")
     rows = (
-        load(spark, folder, "lineitem")
+        load_spread(spark, folder, "lineitem")
         .join(load(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(load(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

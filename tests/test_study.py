@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from quadrata.operators import quality
 from quadrata.plans import contracts as c
 from quadrata.plans import territory as t
+from quadrata.plans.analysis import AnalysisSpec, explain_target, profile_risk
 from quadrata.plans.study import checks, read_sources, run_study
+from quadrata.session import cut_lineage
 
 SPELLED = {"TLALPAN": "Alcaldía Tlalpan", "CUAJIMALPA DE MORELOS": "Cuajimalpa", "GUSTAVO A MADERO": "Gustavo A. Madero"}
 CODE = {key: code for code, key in t.SURVEY_CODES.items()}
@@ -158,3 +160,20 @@ def test_a_broken_layer_fails(study):
     report = checks(type(study)(study.clean, study.analytics, {**study.star, "fact_pobreza_alcaldia_anio": broken}, study.rejects))
     failed = {r.check_name for r in report.where("not passed and severity = 'critical'").collect()}
     assert failed == {"fact_pobreza_alcaldia_anio.grain", "fact_pobreza_alcaldia_anio.tiempo_id"}
+
+
+def test_analysis(study):
+    spec = AnalysisSpec(restarts=2, cluster_counts=(2, 3), eps_values=(1.0,))
+    panel = cut_lineage(study.analytics["modeling_panel"])
+    explained = explain_target(panel, study.analytics["feature_catalog"], spec)
+    assert explained["ols"].count() == 5 and explained["importance"].count() == 7
+    # The correlation with a constant column is undefined, so it comes last.
+    ranked = explained["target_corr"].collect()
+    constant = {"infraestructura_actualizacion_anio", "n_registros_sociales"}
+    assert {r.feature for r in ranked[-2:]} == constant == {r.feature for r in ranked if r["corr"] is None}
+    found = profile_risk(panel, spec)
+    assert found["profiles"].count() == 48 == found["comparison"].count()
+    means = {r.risk_label: r[f"{t.TARGET}_mean"] for r in found["summary"].collect()}
+    assert means["Riesgo bajo"] <= means["Riesgo medio"] <= means["Riesgo alto"]
+    with pytest.raises(ValueError, match="nbi_wmean"):
+        profile_risk(panel.drop("nbi_wmean"), spec)

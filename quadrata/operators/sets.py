@@ -31,11 +31,12 @@ def require_periods(periods: DataFrame) -> DataFrame:
 def missing_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """Distinct non-null keys of the left side that the right side lacks.
 
-    Keys are made distinct before the join, so a key repeated in a third of all rows travels once per task.
+    Both sides are made distinct first, in the partitioning the join needs anyway, so a key repeated in a
+    third of all rows travels once per task.
     """
     right_key = right_key or left_key
     keys = left.select(F.col(left_key).alias("key")).where(F.col("key").isNotNull()).distinct()
-    known = right.select(F.col(right_key).alias("key"))
+    known = right.select(F.col(right_key).alias("key")).distinct()
     return keys.join(known, "key", "left_anti")
 
 
@@ -46,8 +47,9 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
 
 def same_set(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: is each side contained in the other, compared as sets."""
-    only_left = left.distinct().join(right, left.columns, "left_anti").agg(F.count(F.lit(1)).alias("only_left"))
-    only_right = right.distinct().join(left, right.columns, "left_anti").agg(F.count(F.lit(1)).alias("only_right"))
+    left, right = left.distinct(), right.distinct()
+    only_left = left.join(right, left.columns, "left_anti").agg(F.count(F.lit(1)).alias("only_left"))
+    only_right = right.join(left, right.columns, "left_anti").agg(F.count(F.lit(1)).alias("only_right"))
     return only_left.select(
         "only_left", only_right.scalar().alias("only_right")
     ).withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))

@@ -18,15 +18,17 @@ NA_WORDS = (
 _QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, encoding: str | None = None, multi_line: bool = True) -> DataFrame:
     """Raw CSV, every column as text.
 
-    Values may span lines, and such files are read by one task each: land them once as Parquet. Without an
-    encoding, files whose bytes are not valid UTF-8 throughout are read as Latin-1.
+    Where values may span lines each file is read by one task: land it once as Parquet, or turn ``multi_line``
+    off for files known to hold one record per line, which are read in splits. Without an encoding, files whose bytes are not valid UTF-8 throughout are read as Latin-1.
     """
     if encoding is None:
         encoding = "UTF-8" if invalid_utf8_lines(spark, path) == 0 else "ISO-8859-1"
-    df = spark.read.options(**_QUOTING, multiLine="true", inferSchema="false").csv(path, encoding=encoding)
+    df = spark.read.options(**_QUOTING, multiLine=str(multi_line).lower(), inferSchema="false").csv(
+        path, encoding=encoding
+    )
     # A byte-order mark sticks to the first header name.
     return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
 
@@ -47,7 +49,13 @@ def land(df: DataFrame, path: str, partitions: int | None = None, partition_by:
 def write_layer(
     df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
-    """Write a layer; overwriting makes a re-run idempotent, ``append`` adds to what is there."""
+    """Write a layer; overwriting makes a re-run idempotent, ``append`` adds to what is there.
+
+    For a partitioned layer the rows are rebalanced by the partition columns: adaptive execution then splits
+    large members and merges small ones, instead of every task writing a small file per member.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).format(fmt).partitionBy(*partition_by)
     if fmt == "csv":
         # Written and read with the same quoting; an empty string is kept apart from null.

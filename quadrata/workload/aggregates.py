@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrata.functions.numeric import safe_ratio, share
+from quadrata.functions.numeric import share
 from quadrata.operators import aggregates as ag
 from quadrata.operators import olap, ordered, sets
 from quadrata.plans.sources import clean_events, derive_events, reject_counters
@@ -86,14 +86,10 @@ def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
 WEIGHTED_VALUES = {"price": "l_extendedprice", "discount": "l_discount", "tax": "l_tax"}
 
 
-WEIGHTED_DIGITS = {"price": 4, "discount": 6, "tax": 6}
-
-
 def _weighted_sql(name: str, column: str) -> str:
-    weight = "CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END"
-    kept = f"CASE WHEN l_linenumber <> 3 THEN {weight} END"
-    mean = f"sum({column} * {kept}) / nullif(sum({kept}), 0)"
-    return f"{rounded(mean, WEIGHTED_DIGITS[name])} AS {name}_wmean"
+    value = f"CAST(round({column} * 100) AS BIGINT)"
+    weight = "CASE WHEN l_orderkey % 7 <> 0 AND l_linenumber <> 3 THEN CAST(round(l_quantity * 100) AS BIGINT) END"
+    return f"CAST(sum({value} * {weight}) AS DOUBLE) / nullif(CAST(sum({weight}) AS DOUBLE), 0) / 100 AS {name}_wmean"
 
 
 WEIGHTED_SQL = f"""SELECT nation, year, count(*) AS n_rows, coalesce(sum(CASE WHEN l_orderkey % 7 <> 0
@@ -102,22 +98,30 @@ WEIGHTED_SQL = f"""SELECT nation, year, count(*) AS n_rows, coalesce(sum(CASE WH
 
 
 def weighted_terms() -> dict:
-    """Rows, weights and weighted values of the line items; values and weights have gaps."""
-    weight = F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity"))
-    values = {n: F.when(F.col("l_linenumber") != 3, F.col(c)) for n, c in WEIGHTED_VALUES.items()}
-    return {"n_rows": F.lit(1), "weight_sum": weight, **ag.weighted_parts(values, weight)}
+    """Rows, weights and weighted values of the line items in hundredths; values and weights have gaps.
+
+    Products of price and quantity outgrow a 64-bit sum over everything, so those two are decimals.
+    """
+    weight = F.when(F.col("l_orderkey") % 7 != 0, cents("l_quantity"))
+    values = {n: F.when(F.col("l_linenumber") != 3, cents(c)) for n, c in WEIGHTED_VALUES.items()}
+    price = {"price": values.pop("price").cast("decimal(9,0)")}
+    return {
+        "n_rows": F.lit(1),
+        "weight_sum": weight,
+        **ag.weighted_parts(price, weight.cast("decimal(8,0)")),
+        **ag.weighted_parts(values, weight),
+    }
 
 
 def weighted_columns() -> list:
-    means = [
-        (F.round(safe_ratio(f"{n}__num", f"{n}__den"), d) + 0.0).alias(f"{n}_wmean") for n, d in WEIGHTED_DIGITS.items()
-    ]
-    return ["n_rows", F.coalesce("weight_sum", F.lit(0.0)).alias("weight_sum"), *means]
+    means = ag.weighted_from_parts(list(WEIGHTED_VALUES), "")
+    named = [(mean / 100).alias(f"{name}_wmean") for name, mean in zip(WEIGHTED_VALUES, means, strict=True)]
+    return ["n_rows", F.coalesce(F.col("weight_sum") / 100, F.lit(0.0)).alias("weight_sum"), *named]
 
 
 @query("weighted_mean", on_lines(WEIGHTED_SQL))
 def weighted_mean(spark: SparkSession, folder: str) -> DataFrame:
-    """Means weighted by quantity, rounded for comparison."""
+    """Means weighted by quantity per nation and year."""
     summed = sales(spark, folder, ["nation", "year"], weighted_terms())
     return summed.select("nation", "year", *weighted_columns())
 

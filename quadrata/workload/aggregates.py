@@ -13,7 +13,6 @@ from quadrata.session import load
 from quadrata.streaming.counts import file_stream, run_available
 from quadrata.sources.layers import is_folder
 from quadrata.workload.base import (
-    CLASS_SQL,
     CLASSES,
     EVENTS,
     YEARS,

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quadrata.functions import dates, names, numeric, text
+from quadrata.functions.entities import canonicalize_by_table
 from quadrata.plans import territory as t
 
 
@@ -128,3 +129,10 @@ def test_numbers(spark):
 def test_utf8(spark, raw, ok):
     df = spark.createDataFrame([(bytearray(raw),)], "v binary")
     assert df.select(text.is_utf8("v")).first()[0] is ok
+
+
+def test_canonical_by_table(spark):
+    aliases = spark.createDataFrame([("CUAJIMALPA", "CUAJIMALPA DE MORELOS")], "alias string, entity_key string")
+    df = spark.createDataFrame([(" cuajimalpa. ",), ("Toluca",), (None,)], "place string")
+    got = canonicalize_by_table(df, "place", aliases, "key").collect()
+    assert {(r.place, r.key) for r in got} == {(" cuajimalpa. ", "CUAJIMALPA DE MORELOS"), ("Toluca", None), (None, None)}

@@ -34,9 +34,9 @@ def _rows(columns, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def differences(spark, con, folder: str, name: str) -> list[str]:
+def differences(spark, con, folder: str, name: str, registry=REGISTRY) -> list[str]:
     """Empty if the query and its SQL agree."""
-    q = REGISTRY[name]
+    q = registry[name]
     df = q.run(spark, folder)
     got = [tuple(r) for r in df.collect()]
     if q.oracle is None:

@@ -29,7 +29,7 @@ def test_query(spark, con, name):
 
 def test_entry_points():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == SLOW | {"ols", "pca"}
+    assert set(REGISTRY) - set(entry_points.oracle_sql()) == SLOW | {"ols", "pca"}
 
 
 @needs_data

@@ -1,6 +1,6 @@
 """Toxicity: maximum-scoring segments of token log-odds, aggregated by extreme-value calibration.
 
-A token scores the log-odds of its class rates under a Dirichlet prior; the prior of a word follows the rates of its first
+A token scores the log-odds of the rates of texts that hold it under a Dirichlet prior; the prior of a word follows the rates of its first
 bytes, so inflected forms of a known stem score too. The linear-time scan of Ruzzo and Tompa finds every maximal segment of
 a document. Karlin-Altschul statistics of the non-toxic labelled documents turn segment scores into expected counts; their
 sum over segments is mapped to a probability by a logistic curve.
@@ -23,8 +23,8 @@ from quadrata.llm.blocks import U, Rolling, blocks, byte_symbols, mixed, with_ta
 from quadrata.session import cut_lineage
 
 WORD_BITS, PREFIX_BITS, PREFIX = 20, 18, 4
-PRIOR, PREFIX_PRIOR, LEAST = 4.0, 20.0, 5
-DRIFT, LOWEST, HIGHEST = 0.7, -2.0, 6.0
+PRIOR, PREFIX_PRIOR, LEAST = 4.0, 10.0, 8
+DRIFT, LOWEST, HIGHEST = 1.2, -2.0, 6.0
 _STEP = 0.25  # width of the bins of token scores
 _BINS = int((HIGHEST - LOWEST) / _STEP) + 1
 _CURVE_BINS = 400
@@ -59,10 +59,12 @@ def _count(batches):
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
         for block in blocks(pc.utf8_lower(batch.column("text"))):
             word, prefix, w = _features(block)
-            label = np.repeat(toxic[block.rows], w.last - w.first)
+            doc = np.repeat(np.arange(len(block.rows)), w.last - w.first)
+            both = np.concatenate([word, prefix + (1 << WORD_BITS)])
+            once = np.unique(np.concatenate([doc, doc]) * tables.shape[1] + both)  # repeats in a text count once
+            label = toxic[block.rows][once // tables.shape[1]]
             for c in (0, 1):
-                own = label == c
-                tables[c] += np.bincount(np.concatenate([word[own], prefix[own] + (1 << WORD_BITS)]), minlength=tables.shape[1])
+                np.add.at(tables[c], once[label == c] % tables.shape[1], 1)
     used = np.flatnonzero(tables.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(tables[0, used]), pa.array(tables[1, used])], ["bucket", "n0", "n1"])
 
@@ -87,7 +89,7 @@ def learn(labelled: DataFrame) -> Model:
     share = total / total.sum()
     rates = (prefix + PREFIX_PRIOR * share[:, None]) / total[:, None]
     odds = np.log(rates[1] / rates[0])
-    odds[prefix.sum(axis=0) < 4 * LEAST] = 0
+    odds[prefix.sum(axis=0) < LEAST] = 0
     even = (word + PRIOR * share[:, None]) / total[:, None]
     return Model(np.log(even[1] / even[0]).astype(np.float32), word.sum(axis=0) >= LEAST, odds.astype(np.float32))
 
@@ -201,8 +203,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     level = 3.0 / rate  # K is set so that as many background segments reach this score as are expected to
     found = background.select(F.sum(F.size(F.filter("segments", lambda s: s["score"] >= level))), F.sum("n_words")).first()
     scale = max(float(found[0] or 0), 0.5) / max(float(found[1] or 0), 1.0) * float(np.exp(rate * level))
-    expected = lambda s: F.lit(scale) * F.col("n_words") * F.exp(-rate * s["score"])
-    evidence = F.aggregate("segments", F.lit(0.0), lambda total, s: total + F.log1p(1 / expected(s)))
+    log_expected = lambda s: F.lit(float(np.log(scale))) + F.log(F.col("n_words")) - rate * s["score"]
+    # log(1 + 1 / expected), for any size of it
+    rarity = lambda e: F.greatest(-e, F.lit(0.0)) + F.log1p(F.exp(-F.abs(e)))
+    evidence = F.aggregate("segments", F.lit(0.0), lambda total, s: total + rarity(log_expected(s)))
     scored = scanned.withColumn("evidence", F.log1p(evidence))
     bin_of = F.least(F.floor(F.col("evidence") * 50), F.lit(_CURVE_BINS))
     points = scored.join(learned, "doc_id").groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).collect()
@@ -210,8 +214,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     start, slope = logistic((x + 0.5) / 50, n, ones) if len(points) else (-30.0, 0.0)
     score = 1 / (1 + F.exp(-(F.lit(start) + F.lit(slope) * F.col("evidence"))))
     passages = F.transform(
-        F.filter("segments", lambda s: expected(s) < 0.01),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), expected(s).alias("expected")),
+        F.filter("segments", lambda s: F.exp(log_expected(s)) < 0.01),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.exp(log_expected(s)).alias("expected")),
     )
     return scored.select(
         "doc_id", "tag", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), passages.alias("passages")

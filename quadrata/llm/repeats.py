@@ -31,7 +31,7 @@ from quadrata.llm.blocks import Block, Rolling, U, blocks, byte_symbols, mixed,
 from quadrata.session import cut_lineage
 
 Resolver = Callable[[list[bytes], np.ndarray, np.ndarray, int], np.ndarray]
-_FLUSH_BYTES = 24 << 20
+_FLUSH_BYTES = 128 << 20
 _RESOLVE_BYTES = 1 << 20
 
 
@@ -75,7 +75,7 @@ class Runs:
         kept = valid[low]
         self.low, self.high = low[kept], high[kept]
         self.doc = np.searchsorted(last, self.low, side="right")
-        self.key = grams[anchor[self.low]]
+        self.key = mixed(grams[anchor[self.low]] ^ U(0x5851F42D4C957F2D))  # the smallest of many, so spread it again
         self.context = mixed(rolling.raw(self.low, self.high + length) + (self.high - self.low).astype(U))
 
     def only(self, keep: np.ndarray) -> Runs:
@@ -159,7 +159,7 @@ def _contexts(unit: Unit, repeated, hot):
                 if entry is None:
                     text = runs.text(i)
                     known[context] = [key, doc, doc, size, text]
-                    held += len(text) + 200
+                    held += len(text) + 450
                 elif doc < entry[1]:
                     entry[1] = doc
                 elif doc > entry[2]:

@@ -34,12 +34,20 @@ def snake_case_col(col: Column | str) -> Column:
 
 
 def dedupe_names(names: Iterable[str]) -> list[str]:
-    """Normal forms in order; the n-th repeat of a name carries the suffix ``_n``."""
-    seen: dict[str, int] = {}
+    """Normal forms in order; the n-th repeat of a name carries the suffix ``_n``, or the next number that is free."""
+    plain = [snake_case(name) for name in names]
+    taken, seen = set(plain), {}
     result = []
-    for name in map(snake_case, names):
-        seen[name] = seen.get(name, 0) + 1
-        result.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    for name in plain:
+        n = seen[name] = seen.get(name, 0) + 1
+        if n == 1:
+            result.append(name)
+            continue
+        while f"{name}_{n}" in taken:
+            n += 1
+        seen[name] = n
+        taken.add(f"{name}_{n}")
+        result.append(f"{name}_{n}")
     return result
 
 

@@ -266,6 +266,6 @@ def dbscan_sweep(
         ).first()
         score = None
         if vectors is not None and counts["clusters"] >= 2:
-            score = silhouette(vectors.join(labelled.select(key, "cluster"), key), "features", "cluster")[1]
+            score = silhouette(vectors.join(labelled.select(key, "cluster"), key), "features", "cluster")
         rows.append((float(eps), counts["clusters"], counts["noise"], score))
     return df.sparkSession.createDataFrame(rows, "eps double, clusters int, noise bigint, silhouette double")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -20,9 +18,6 @@ from quadrata.operators.ordered import ordered_labels
 from quadrata.operators.schema import dtype_label, require_columns
 from quadrata.operators.statistics import impute_median, zscore
 
-# Rows up to which the Euclidean silhouette compares every point with all points held by each task.
-EUCLIDEAN_ROW_LIMIT = 20_000
-
 
 def model_columns(panel: DataFrame, catalog: DataFrame, target: str) -> list[str]:
     """Numeric panel columns the catalogue recommends, plus the target. The catalogue has a row per column."""
@@ -116,71 +111,33 @@ def forest_importance(
 
 def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42, features: str = "features"):
     """The fitted model with the lowest inertia over several starts."""
-    fits = (KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=100, tol=1e-6).fit(vectors) for i in range(restarts))
+    fits = (KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=300, tol=1e-6).fit(vectors) for i in range(restarts))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction", metric: str = "auto") -> tuple[str, float | None]:
-    """(metric used, mean silhouette). Noise (-1) counts as a cluster of its own.
+SILHOUETTE = "squaredEuclidean"
 
-    The Euclidean form needs all pairs of points. Tasks hold the point matrix for that, so it is used only up
-    to a row limit; beyond it, and on request, the squared form is used, which is linear in the rows.
-    """
-    rows = df.count()
-    groups = df.select(cluster).distinct().count()
-    if groups < 2 or groups >= rows:
-        return (metric if metric != "auto" else "euclidean", None)
-    if metric == "squaredEuclidean" or (metric == "auto" and rows > EUCLIDEAN_ROW_LIMIT):
-        shifted = df.withColumn("_cluster", (F.col(cluster) - F.lit(-1)).cast("int"))
-        return "squaredEuclidean", ClusteringEvaluator(
-            featuresCol=features, predictionCol="_cluster", metricName="silhouette"
-        ).evaluate(shifted)
-    if rows > EUCLIDEAN_ROW_LIMIT:
-        raise ValueError(f"the Euclidean silhouette is limited to {EUCLIDEAN_ROW_LIMIT} rows, got {rows}")
-    return "euclidean", _euclidean_silhouette(df, features, cluster)
-
-
-def _euclidean_silhouette(df: DataFrame, features: str, cluster: str) -> float:
-    flat = df.select(vector_to_array(features).alias("x"), F.col(cluster).cast("int").alias("g"))
-    bounded = flat.toPandas()  # at most EUCLIDEAN_ROW_LIMIT rows, checked by the caller
-    points = df.sparkSession.sparkContext.broadcast((np.stack(bounded["x"].to_numpy()), bounded["g"].to_numpy()))
-
-    def score(batches):
-        matrix, group = points.value
-        labels = np.unique(group)
-        sizes = np.array([(group == g).sum() for g in labels])
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = np.stack(batch["x"].to_numpy())
-            squared = (x**2).sum(1)[:, None] + (matrix**2).sum(1)[None, :] - 2 * x @ matrix.T
-            distance = np.sqrt(np.maximum(squared, 0))
-            sums = np.stack([distance[:, group == g].sum(1) for g in labels], 1)
-            own = np.searchsorted(labels, batch["g"].to_numpy())
-            row = np.arange(len(x))
-            inner = sums[row, own] / np.maximum(sizes[own] - 1, 1)
-            outer_means = sums / sizes
-            outer_means[row, own] = np.inf
-            outer = outer_means.min(1)
-            value = np.where(sizes[own] > 1, (outer - inner) / np.maximum(np.maximum(inner, outer), 1e-300), 0.0)
-            yield pd.DataFrame({"s": [value.sum()], "n": [len(x)]})
-
-    total = flat.mapInPandas(score, "s double, n bigint").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
-    points.unpersist()
-    return total["s"] / total["n"]
+
+def silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction") -> float | None:
+    """Mean silhouette in its squared Euclidean form, which is linear in the rows. Noise (-1) counts as a cluster of its own."""
+    shape = df.agg(F.count("*").alias("rows"), F.count_distinct(cluster).alias("groups")).first()
+    if shape["groups"] < 2 or shape["groups"] >= shape["rows"]:
+        return None
+    shifted = df.withColumn("_cluster", (F.col(cluster) + 1).cast("int"))
+    return ClusteringEvaluator(featuresCol=features, predictionCol="_cluster", metricName="silhouette").evaluate(shifted)
 
 
 def kmeans_sweep(
     vectors: DataFrame, ks: Sequence[int] = range(2, 7), restarts: int = 20, seed: int = 42,
-    features: str = "features", metric: str = "auto",
+    features: str = "features",
 ) -> DataFrame:
     """(k, inertia, metric, silhouette) per cluster count; the vectors are kept for all the fits."""
     kept = vectors.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     for k in ks:
         model = best_kmeans(kept, k, restarts, seed, features)
-        used, value = silhouette(model.transform(kept), features, "prediction", metric)
-        rows.append((k, float(model.summary.trainingCost), used, value))
+        value = silhouette(model.transform(kept), features)
+        rows.append((k, float(model.summary.trainingCost), SILHOUETTE, value))
     kept.unpersist()
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, metric string, silhouette double")
 

@@ -132,7 +132,12 @@ def change_over_periods(df: DataFrame, entity: str, period: str, measure: str) -
 
 
 def ordered_labels(means: DataFrame, group: str, measure: str, labels: Sequence[str]) -> DataFrame:
-    """Rank groups by their mean from 0 and name the ranks; for a handful of groups such as clusters."""
+    """Rank groups by their mean from 0 and name the ranks; for a handful of groups such as clusters.
+
+    More groups than labels is an error.
+    """
     order = F.row_number().over(Window.orderBy(F.col(measure), F.col(group))) - 1
     names = F.array(*[F.lit(label) for label in labels])
-    return means.withColumn("risk_id", order).withColumn("risk_label", F.get(names, F.col("risk_id")))
+    named = F.when(F.col("risk_id") < len(labels), F.get(names, F.col("risk_id")))
+    missing = F.raise_error(F.lit(f"more groups than the {len(labels)} labels"))
+    return means.withColumn("risk_id", order).withColumn("risk_label", F.when(F.col("risk_id") < len(labels), named).otherwise(missing))

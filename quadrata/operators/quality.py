@@ -110,7 +110,7 @@ def catalog_checks(
     feature="feature_name", role="feature_role", temporal="temporal_behavior", recommended="recommended_for_modeling",
     derived_role: str = "derived_analysis",
 ) -> DataFrame:
-    """Feature catalogue: every role occurs, static features say so, derived ones are never recommended."""
+    """Feature catalogue: every role occurs, all static features occur and say so, derived ones occur and are never recommended."""
     parts = [
         F.struct(
             F.lit("catalog_roles_complete").alias("check_name"),
@@ -118,11 +118,17 @@ def catalog_checks(
         ),
         F.struct(
             F.lit("catalog_static_features").alias("check_name"),
-            F.count_if(F.col(feature).isin(list(static_features)) & (F.col(temporal) != static_label)).alias("observed"),
+            (
+                F.count_if(F.col(feature).isin(list(static_features)) & ~F.col(temporal).eqNullSafe(static_label))
+                + (F.lit(len(set(static_features))) - F.count_distinct(F.when(F.col(feature).isin(list(static_features)), F.col(feature))))
+            ).alias("observed"),
         ),
         F.struct(
             F.lit("catalog_derived_not_recommended").alias("check_name"),
-            F.count_if((F.col(role) == derived_role) & F.col(recommended)).alias("observed"),
+            (
+                F.count_if((F.col(role) == derived_role) & F.coalesce(F.col(recommended), F.lit(True)))
+                + (F.count_if(F.col(role) == derived_role) == 0).cast("bigint")
+            ).alias("observed"),
         ),
     ]
     return catalog.agg(F.array(*parts).alias("parts")).select(F.inline("parts")).select(

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quadrata.functions.numeric import try_double
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to the ordered contract; columns the input lacks become typed nulls, others are dropped."""
@@ -69,7 +71,7 @@ def infer_types(df: DataFrame, rules: Sequence[TypeRule] = NAME_RULES, sample: i
     parts = []
     for name in df.columns:
         ruled = next((kind for test, kind in rules if test(name)), None)
-        number = F.col(f"`{name}`").cast("string").try_cast("double")
+        number = try_double(F.col(f"`{name}`").cast("string"))
         parts.append(
             F.struct(
                 F.lit(name).alias("column_name"),

@@ -62,7 +62,7 @@ def target_corr(df: DataFrame, features: Sequence[str], target: str, digits: int
 
 
 def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
-    """Population z-scores; a constant column gives 0. Mean and deviation come from one scalar subquery."""
+    """Population z-scores; a constant column gives 0, a missing value stays missing. Mean and deviation come from one scalar subquery."""
     stats = df.agg(
         F.struct(
             *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
@@ -70,7 +70,9 @@ def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFra
     ).scalar()
     return df.withColumns(
         {
-            c + suffix: F.coalesce((F.col(c) - stats[f"m_{c}"]) / F.nullif(stats[f"s_{c}"], F.lit(0.0)), F.lit(0.0))
+            c + suffix: F.when(F.col(c).isNull(), None)
+            .when(stats[f"s_{c}"] == 0, 0.0)
+            .otherwise((F.col(c) - stats[f"m_{c}"]) / F.nullif(stats[f"s_{c}"], F.lit(0.0)))
             for c in columns
         }
     )

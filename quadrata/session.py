@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app: str = "quadrata", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the library relies on: AQE with skew splitting, UTC, Arrow."""
     builder = SparkSession.builder.appName(app)
@@ -44,20 +47,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that a lost executor never changes what was computed."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint, so that a lost executor never changes what was computed.
+
+    The shuffle files of the job are of no use once its result is written; where Spark can, it deletes them at the end.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
-
-
-def load_spread(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table for expensive row expressions: a small file of few splits is dealt out to all cores.
-
-    A scan that already has a split per core, as any large table has, is left as it is.
-    """
-    df = load(spark, folder, table)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

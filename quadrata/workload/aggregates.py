@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -274,7 +276,7 @@ def common_periods(spark: SparkSession, folder: str) -> DataFrame:
 )
 def set_difference(spark: SparkSession, folder: str) -> DataFrame:
     """Customers without an order in a year."""
-    active = load(spark, folder, "orders").where(F.year("o_orderdate") == 1997)
+    active = load(spark, folder, "orders").where(F.col("o_orderdate").between(F.lit(date(1997, 1, 1)), F.lit(date(1997, 12, 31))))
     return sets.missing_keys(load(spark, folder, "customer"), active, "c_custkey", "o_custkey")
 
 

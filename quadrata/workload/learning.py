@@ -156,7 +156,7 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    return learning.kmeans_sweep(vectors(spark, folder), range(2, 7), restarts=2)
+    return learning.kmeans_sweep(vectors(spark, folder), range(2, 7))
 
 
 CLUSTER_FEATURES = ["target", "price_wmean", "weight_sum", "tax_wmean"]
@@ -167,7 +167,7 @@ def cluster_profiles(spark: SparkSession, folder: str) -> DataFrame:
     """Panel rows clustered on scaled features, with risk labels and principal components."""
     rows = panel(spark, folder).select("nation", "year", *CLUSTER_FEATURES)
     scaled = cut_lineage(learning.scaled_features(cut_lineage(rows), CLUSTER_FEATURES))
-    model = learning.best_kmeans(scaled, 3, restarts=5)
+    model = learning.best_kmeans(scaled, 3)
     placed, _ = learning.pca(model.transform(scaled))
     return learning.risk_profiles(placed, "prediction", "target").drop("features")
 
@@ -207,6 +207,7 @@ def risk_profile(spark: SparkSession, folder: str) -> DataFrame:
 # --- Density clustering of customers by balance and spending --------------------------------------------------------
 
 EPS = 40.0
+RADII = (0.6, 0.8, 1.0, 1.2, 1.4, 1.6, 1.8, 2.0, 2.2)
 _POINTS = """pts AS (SELECT c_custkey AS id, c_acctbal AS x, coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0) / 1000 AS y
  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_acctbal),
  near AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 40.0),
@@ -249,4 +250,4 @@ def dbscan_sweep(spark: SparkSession, folder: str) -> DataFrame:
     scaled = cut_lineage(learning.scaled_features(rows, CLUSTER_FEATURES))
     arrays = vector_to_array("features")
     parts = scaled.select("id", *[F.get(arrays, F.lit(i)).alias(f"z{i}") for i in range(len(CLUSTER_FEATURES))])
-    return density.dbscan_sweep(parts, "id", [f"z{i}" for i in range(len(CLUSTER_FEATURES))], (0.8, 1.6), 3, scaled)
+    return density.dbscan_sweep(parts, "id", [f"z{i}" for i in range(len(CLUSTER_FEATURES))], RADII, 3, scaled)

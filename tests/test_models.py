@@ -98,20 +98,19 @@ def test_kmeans_sweep_finds_three_blobs(spark):
     }
 
 
-def test_euclidean_silhouette(spark):
+def test_silhouette_is_the_squared_form_at_every_size(spark):
     df, points = blobs(spark)
     labels = np.arange(60) % 4
-    rows = df.withColumn("prediction", (F.col("id") % 4).cast("int"))
-    metric, got = learning.silhouette(rows)
-    distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    rows = df.withColumn("prediction", (F.col("id") % 4 - 1).cast("int"))
+    distance = ((points[:, None] - points[None]) ** 2).sum(-1)
     scores = []
     for i in range(60):
         same = (labels == labels[i]) & (np.arange(60) != i)
         inner = distance[i][same].mean()
         outer = min(distance[i][labels == g].mean() for g in range(4) if g != labels[i])
         scores.append((outer - inner) / max(inner, outer))
-    assert metric == "euclidean" and got == pytest.approx(np.mean(scores))
-    assert learning.silhouette(rows, metric="squaredEuclidean")[0] == "squaredEuclidean"
+    assert learning.silhouette(rows) == pytest.approx(np.mean(scores))
+    assert learning.silhouette(rows.where("prediction = 0")) is None
 
 
 def test_pca(spark):

@@ -19,73 +19,84 @@ from quadrata.llm.repeats import Unit, apply_spans, covered, repeated_spans
 LENGTH, GRAM = 50, 16
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of a byte array in the order of their first ``depth`` bytes or more; the end counts as smallest."""
+def suffix_array(text: np.ndarray, depth: int, table: int = 14) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of a byte array in the order of their first ``depth`` bytes or more, the end counting as smallest; and, by
+    place, the first place with the same first ``table`` (7 or 14) bytes. Only suffixes that still tie are sorted again."""
     n = len(text)
     key = np.zeros(n, dtype=np.uint64)
     padded = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
     for k in range(7):  # seven bytes, and one for how many there were
         key = (key << np.uint64(8)) | padded[k : k + n]
     key = (key << np.uint64(8)) | np.minimum(np.arange(n, 0, -1), 7).astype(np.uint64)
-    step = 7
     order = np.argsort(key)
+    key = key[order]
+    slots = np.arange(n)  # the places that still tie, and the sort keys there
+    head = np.zeros(n, dtype=np.int64)  # by place, the first place of the same string
+    rank = np.empty(n, dtype=np.int64)
+    step, grouped = 7, None
     while True:
-        sorted_key = key[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        if step >= depth or rank[order[-1]] == n - 1:
-            return order
-        later = np.zeros(n, dtype=np.int64)
-        later[:-step] = rank[step:] + 1
-        key = (rank * (n + 1) + later).astype(np.uint64)
-        order = np.argsort(key)
+        fresh = np.ones(len(slots), dtype=bool)
+        fresh[1:] = key[1:] != key[:-1]
+        head[slots] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(slots)), 0))]
+        rank[order[slots]] = head[slots]
+        if step >= table and grouped is None:
+            grouped = head.copy()
+        tied = ~fresh
+        tied[:-1] |= ~fresh[1:]
+        slots = slots[tied]
+        if grouped is not None and (step >= depth or not len(slots)):
+            return order, grouped
+        own = order[slots]
+        later = np.where(own + step < n, rank[np.minimum(own + step, n - 1)] + 1, 0)
+        key = rank[own] * (n + 1) + later
+        again = np.argsort(key)
+        order[slots], key = own[again], key[again]
         step *= 2
 
 
-def expand(text: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def expand(order: np.ndarray, text: np.ndarray, grouped: np.ndarray, start: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that share their first ``length`` bytes with another one, and the number of each one's interval.
 
-    ``order`` is the suffix array. The last-to-first mapping sends the place of a suffix to that of the suffix one byte
-    longer. Backward extension of all intervals of a level at once: a place takes the interval of the suffix that starts one
-    byte later, and two neighbours stay together if these intervals and their own first bytes agree. Places alone in their
-    interval cannot share a longer string and leave the search.
+    ``order`` is the suffix array; ``grouped`` holds the intervals of all strings of ``start`` bytes, the table from which the
+    search sets out. The last-to-first mapping sends the place of a suffix to that of the suffix one byte longer. Backward
+    extension of all intervals of a level at once: a place takes the interval of the suffix that starts one byte later, and
+    two neighbours stay together if these intervals and their own first bytes agree. Places alone in their interval cannot
+    share a longer string and leave the search.
     """
     n = len(text)
     place = np.empty(n, dtype=np.int64)
     place[order] = np.arange(n)
-    # The longer suffix's place for every place: the last-to-first mapping, -1 for the whole text.
-    longer = np.where(order > 0, place[order - 1], -1)
-    first = text[order]
-    interval = np.zeros(n, dtype=np.int32)  # of the strings of length 0: all places
-    live = np.arange(n)
-    for _ in range(length):
-        came = interval[live]
-        to = longer[live]
-        came, to = came[to >= 0], to[to >= 0]
-        back = np.full(n, -1, dtype=np.int32)
-        back[to] = came
-        at = np.flatnonzero(back >= 0)
-        if not len(at):
-            return order[:0], at
-        own, head = back[at], first[at]
+    size = np.bincount(grouped, minlength=n)
+    live = np.flatnonzero(size[grouped] > 1)
+    interval = grouped[live]
+    back = np.full(n, -1, dtype=np.int64)
+    for _ in range(start, length):
+        suffix = order[live]
+        able = suffix > 0
+        to = place[suffix[able] - 1]  # the last-to-first mapping
+        back[to] = interval[able]
+        at = np.sort(to)
+        own, head = back[at], text[order[at]]
         fresh = np.ones(len(at), dtype=bool)
         fresh[1:] = (own[1:] != own[:-1]) | (head[1:] != head[:-1])
         number = np.cumsum(fresh) - 1
-        shared = np.bincount(number)[number] > 1
-        live = at[shared]
-        interval[live] = number[shared]
-    return order[live], interval[live]
+        shared = np.bincount(number)[number] > 1 if len(at) else fresh
+        live, interval = at[shared], number[shared]
+        if not len(live):
+            break
+    return order[live], interval
 
 
-def first_documents(texts: list[bytes], windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+def first_documents(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For all windows of all contexts, one after another, the smallest document in their interval."""
-    sizes = np.array([len(t) for t in texts])
-    starts = np.cumsum(sizes) - sizes
-    text = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    owner = np.repeat(np.arange(len(starts)), ends - starts)
     window = np.arange(len(text)) - starts[owner] < windows[owner]
     answer = docs[owner]
-    suffix, interval = expand(text, suffix_array(text, length), length)
+    table = 14 if length >= 14 else 7
+    if length < table:
+        raise ValueError("the least length is seven bytes")
+    order, grouped = suffix_array(text, length, table)
+    suffix, interval = expand(order, text, grouped, table, length)
     inside = window[suffix]
     suffix, interval = suffix[inside], interval[inside]
     if len(suffix):

@@ -27,15 +27,15 @@ RADIUS = BLOCKS * (NEAR + 1) - 1
 _SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def _shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of the shingle at each word, and how many words and which first word each document has.
+def _shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Rolling | None]:
+    """Hash of the shingle at each word, how many words and which first word each document has, and the words' hashes.
 
     A document of fewer words than a shingle has one, of all its words; places too near the end of a document hold zero.
     """
     w = words(block, _SEPARATOR)
     counts = w.last - w.first
     n = len(w.start)
-    out = np.zeros(n, dtype=U)
+    out, rolling = np.zeros(n, dtype=U), None
     if n:
         symbols = mixed(Rolling(byte_symbols(block.data)).raw(w.start, w.end) + (w.end - w.start).astype(U))
         rolling = Rolling(symbols)
@@ -45,7 +45,7 @@ def _shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         alone[w.first[(counts > 0) & (counts < size)]] = True
         keep = np.flatnonzero(full | alone)
         out[keep] = mixed(rolling.raw(keep, end[keep]) + (end[keep] - keep).astype(U))
-    return out, counts, w.first
+    return out, counts, w.first, rolling
 
 
 def _of_size(h: np.ndarray, size: int) -> np.ndarray:
@@ -67,7 +67,7 @@ def _items(size: int):
             ids = batch.column("item_id").to_pylist()
             rows = []
             for block in blocks(pc.utf8_lower(batch.column("text"))):
-                h, counts, first = _shingles(block, size)
+                h, counts, first, _ = _shingles(block, size)
                 for row, n, f in zip(block.rows.tolist(), counts.tolist(), first.tolist()):
                     if n:
                         own = h[f : f + max(1, n - size + 1)]
@@ -87,9 +87,17 @@ def _windows(size: int, similarity: float, lengths: list[int], any_size, own_siz
         for batch in batches:
             out = []
             for block in blocks(pc.utf8_lower(batch.column("text"))):
-                h, counts, first = _shingles(block, size)
+                h, counts, first, rolling = _shingles(block, size)
                 if not len(h):
                     continue
+                last = np.repeat(first + counts, counts)
+                for length in (n for n in lengths if n < size):  # items shorter than a shingle: one hash is all of them
+                    at = np.flatnonzero((np.arange(len(h)) + length <= last) & (np.repeat(counts, counts) > length))
+                    whole = mixed(rolling.raw(at, at + length) + U(length))
+                    found = bitmap.holds(any_size.value, whole) & bitmap.holds(own_size.value, _of_size(whole, length))
+                    doc = np.searchsorted(first + counts, at[found], side="right")
+                    for d, s, p in zip(doc.tolist(), (at[found] - first[doc]).tolist(), whole[found].view(np.int64).tolist()):
+                        out.append((int(block.rows[d]), length, s, length, p, [p]))
                 member = bitmap.holds(any_size.value, h)
                 total = np.concatenate([[0], np.cumsum(member)])
                 hit = np.flatnonzero(total[first + counts] > total[first])
@@ -97,7 +105,7 @@ def _windows(size: int, similarity: float, lengths: list[int], any_size, own_siz
                     f, n = int(first[d]), int(counts[d])
                     own = h[f : f + max(1, n - size + 1)]
                     sums = total[f : f + len(own) + 1] - total[f]
-                    for length in lengths:
+                    for length in (x for x in lengths if x >= size or x == n):
                         wide = min(length, n)  # a shorter document is one window
                         a, b = max(1, wide - size + 1), max(1, length - size + 1)
                         least = int(np.ceil(share * (a + b) - 1e-9))

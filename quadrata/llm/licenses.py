@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quadrata.session import cut_lineage
 
-THRESHOLD = 0.6
+THRESHOLD, WHOLE = 0.6, 0.9
 LICENSE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 # Short notices by which licenses are named.
 TEMPLATES = {
@@ -52,8 +52,8 @@ def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int,
 def scan(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(file_id, path, license, similarity, origin, license_path), one row per row of ``files`` (file_id, path, text; more is ignored).
 
-    origin: ``header`` for the most similar line, ``file`` for a licence file (by its name, or because its whole text is similar
-    enough), ``inherited`` from the licence file in the nearest directory at or above the file's own; null if there is none. Ties go to
+    origin: ``header`` for the most similar line, ``file`` for a licence file (by its name, or because its whole text is
+    similar by WHOLE or more), ``inherited`` from the licence file in the nearest directory at or above the file's own; null if there is none. Ties go to
     the first license by name, then the first line, then the first path. Weights are tf times ln((1+N)/(1+df))+1 over
     all files; terms outside the templates count as unseen. Null or empty texts have no header; a null path has no directory.
     Rows that repeat file_id, path and text get equal results.
@@ -96,7 +96,7 @@ def scan(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold:
     rows = files.select("file_id", "path", "tag").alias("f")
     match = F.col("f.file_id").eqNullSafe(F.col("o.file_id")) & (F.col("f.tag") == F.col("o.tag"))
     named = rows.join(own.alias("o"), match, "left").select("f.*", "header", "whole", F.regexp_replace("path", r"/?[^/]*$", "").alias("folder"))
-    is_file = F.col("path").rlike(LICENSE_NAMES) | F.col("whole").isNotNull()
+    is_file = F.coalesce(F.col("path").rlike(LICENSE_NAMES), F.lit(False)) | (F.coalesce("whole.similarity", F.lit(0.0)) >= WHOLE)
     as_file = F.when(is_file, F.coalesce("whole", "header"))
     named = named.withColumn("as_file", as_file)
     given = (

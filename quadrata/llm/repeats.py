@@ -30,9 +30,10 @@ from quadrata.llm import bitmap
 from quadrata.llm.blocks import Block, Rolling, U, blocks, byte_symbols, mixed, word_hashes, words
 from quadrata.session import cut_lineage
 
-Resolver = Callable[[list[bytes], np.ndarray, np.ndarray, int], np.ndarray]
-_FLUSH_BYTES = 128 << 20
-_RESOLVE_BYTES = 1 << 20
+Resolver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
+_FLUSH_BYTES = 32 << 20
+_RESOLVE_BYTES = 1 << 18
+_RESOLVE_ROWS = 30_000
 
 
 @dataclass(frozen=True)
@@ -99,17 +100,24 @@ class Runs:
         self.context = np.where(hot, whole, self.context[at])
         return self
 
-    def text(self, i: int) -> bytes:
-        low, end = self.low[i], self.high[i] + self.unit.length
+    def texts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The texts of all runs laid end to end, and their sizes."""
+        end = self.high + self.unit.length
         if self.unit.words:
-            return self.block.data[self.begin[low] : self.finish[end - 1]].tobytes()
-        return self.block.data[low:end].tobytes()
+            return _gather(self.block.data, self.begin[self.low], self.finish[end - 1])
+        return _gather(self.block.data, self.low, end)
 
     def places(self) -> np.ndarray:
         """Number of each first window inside its document."""
         return self.low - self.first[self.doc]
 
 
+def _gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    size = end - start
+    total = np.cumsum(size)
+    return data[np.arange(int(total[-1]) if len(total) else 0) + np.repeat(start - (total - size), size)], size
+
+
 def _leftmost_smallest(grams: np.ndarray, width: int) -> np.ndarray:
     """Place of the leftmost smallest value of every ``width`` neighbours; values count by their leading bits."""
     place_bits = U(max(24, int(len(grams)).bit_length()))
@@ -145,93 +153,111 @@ def _grams(unit: Unit):
 
 
 def _contexts(unit: Unit, repeated, hot):
-    names = ["key", "context", "low_doc", "high_doc", "windows", "text"]
+    """Contexts of surviving grams, each different one once per task (or per _FLUSH_BYTES of them) with its documents."""
+
+    def folded(key, context, low, high, size) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The first place of each different context, and the other columns with the smallest and largest document."""
+        order = np.argsort(context, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(context[order].view(np.int64)) != 0))
+        own = order[first]
+        return own, [key[own], context[own], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first), size[own]]
+
+    def as_batch(parts: list[tuple]) -> pa.RecordBatch:
+        *columns, data, width = (np.concatenate(column) for column in zip(*parts))
+        own, (key, context, low, high, size) = folded(*columns)
+        places = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
+        text = pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(places), pa.py_buffer(data)]).take(pa.array(own))
+        columns = [pa.array(key.view(np.int64)), pa.array(context.view(np.int64)), pa.array(low), pa.array(high), pa.array(size.astype(np.int32)), text]
+        return pa.RecordBatch.from_arrays(columns, ["key", "context", "low_doc", "high_doc", "windows", "text"])
 
     def run(batches):
-        known: dict[int, list] = {}
-        held = 0
+        held: list[tuple] = []
+        size = 0
         for _, ids, runs in _scan(batches, unit):
             runs.only(bitmap.holds(repeated.value, runs.key))
             runs.refined(bitmap.holds(hot.value, runs.key))
-            rows = zip(runs.context.tolist(), ids[runs.doc].tolist(), runs.key.tolist(), (runs.high - runs.low + 1).tolist())
-            for i, (context, doc, key, size) in enumerate(rows):
-                entry = known.get(context)
-                if entry is None:
-                    text = runs.text(i)
-                    known[context] = [key, doc, doc, size, text]
-                    held += len(text) + 450
-                elif doc < entry[1]:
-                    entry[1] = doc
-                elif doc > entry[2]:
-                    entry[2] = doc
-            if held >= _FLUSH_BYTES:
-                yield _as_batch(known)
-                known, held = {}, 0
-        if known:
-            yield _as_batch(known)
-
-    def _as_batch(known):
-        key, low, high, size, text = zip(*known.values())
-        hashes = [_signed(np.array(x, dtype=U)) for x in (key, list(known))]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in hashes] + [pa.array(low), pa.array(high), pa.array(size, pa.int32()), pa.array(text, pa.binary())], names
-        )
+            if not len(runs.low):
+                continue
+            docs = ids[runs.doc]
+            own, columns = folded(runs.key, runs.context, docs, docs, runs.high - runs.low + 1)
+            runs.only(own)
+            held.append((*columns, *runs.texts()))
+            size += len(held[-1][5]) + 48 * len(held[-1][0])
+            if size >= _FLUSH_BYTES:
+                yield as_batch(held)
+                held, size = [], 0
+        if held:
+            yield as_batch(held)
 
     return run
 
 
+def _cut(keys: np.ndarray, sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of rows of about ``limit`` bytes that keep equal keys together."""
+    edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    part = total[edge] // limit
+    first = edge[np.append(True, part[1:] != part[:-1])]
+    return list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))
+
+
 def _answers(unit: Unit, resolve: Resolver):
-    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("base", pa.int64())]))
-
-    def answer(group: dict[int, list]) -> pa.RecordBatch:
-        """Runs of windows with the first document of each, for contexts of which some occurrence loses something."""
-        entries = list(group.values())
-        low = np.array([e[0] for e in entries], dtype=np.int64)
-        high = np.array([e[1] for e in entries], dtype=np.int64)
-        size = np.array([e[2] for e in entries], dtype=np.int64)
+    """Rows sorted by key and context: runs of windows with the first document of each, for contexts that lose something."""
+    kind = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("base", pa.int64())])
+
+    def answer(rows: pa.Table) -> pa.RecordBatch:
+        key, context, low, high, size = (rows[c].to_numpy() for c in ("key", "context", "low_doc", "high_doc", "windows"))
+        fresh = np.append(True, (key[1:] != key[:-1]) | (context[1:] != context[:-1]))
+        own = np.flatnonzero(fresh)
+        low, high = np.minimum.reduceat(low, own), np.maximum.reduceat(high, own)
+        key, context, size = key[own], context[own], size[own].astype(np.int64)
         start = np.cumsum(size) - size
         base = np.repeat(low, size)
-        shared = {}
-        for i, e in enumerate(entries):
-            shared.setdefault(e[4], []).append(i)
-        inside = [i for own in shared.values() if len(own) > 1 for i in own]
-        if inside:
-            found = resolve([entries[i][3] for i in inside], size[inside], low[inside], unit.length)
-            at = np.concatenate([np.arange(start[i], start[i] + size[i]) for i in inside])
-            base[at] = np.minimum(base[at], found)
-        doc = np.repeat(np.arange(len(entries)), size)
+        same = np.append(False, key[1:] == key[:-1])
+        same[:-1] |= same[1:]
+        inside = np.flatnonzero(same)
+        if len(inside):
+            texts = rows["text"].take(pa.array(own[inside])).combine_chunks().cast(pa.large_binary())
+            _, places, data = texts.buffers()
+            places = np.frombuffer(places, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(data, dtype=np.uint8)
+            for a, b in _cut(key[inside], np.diff(places), _RESOLVE_BYTES):
+                part = inside[a:b]
+                at = places[a : b + 1] - places[a]
+                found = resolve(data[places[a] : places[b]], at[:-1], at[1:], size[part], low[part], unit.length)
+                span = size[part]
+                where = np.arange(len(found)) + np.repeat(start[part] - (np.cumsum(span) - span), span)
+                base[where] = np.minimum(base[where], found)
+        doc = np.repeat(np.arange(len(own)), size)
         loses = base < high[doc]
-        fresh = np.ones(len(base), dtype=bool)
-        fresh[1:] = (base[1:] != base[:-1]) | (doc[1:] != doc[:-1])
-        first = np.flatnonzero(fresh)
+        first = np.flatnonzero(np.append(True, (base[1:] != base[:-1]) | (doc[1:] != doc[:-1])))
         last = np.append(first[1:], len(base)) - 1
         first, last = first[loses[first]], last[loses[first]]
         owner = doc[first]
-        rows, counts = np.unique(owner, return_counts=True)
+        named, counts = np.unique(owner, return_counts=True)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         parts = [(first - start[owner]).astype(np.int32), (last - start[owner]).astype(np.int32), base[first]]
-        runs = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(x) for x in parts], fields=list(kind.value_type)))
-        names = np.array(list(group), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(names[rows]), runs], ["context", "runs"])
+        runs = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(x) for x in parts], fields=list(kind)))
+        return pa.RecordBatch.from_arrays([pa.array(context[named]), runs], ["context", "runs"])
 
     def run(batches):
-        group: dict[int, list] = {}
-        held, current = 0, None
+        held: list[pa.RecordBatch] = []
+        count = 0
         for batch in batches:
-            for key, context, low, high, size, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != current:
-                    if held >= _RESOLVE_BYTES:
-                        yield answer(group)
-                        group, held = {}, 0
-                    current = key
-                entry = group.get(context)
-                if entry is None:
-                    group[context] = [low, high, size, text, key]
-                    held += len(text)
-                else:
-                    entry[0], entry[1] = min(entry[0], low), max(entry[1], high)
-        if group:
-            yield answer(group)
+            held.append(batch)
+            count += batch.num_rows
+            if count < _RESOLVE_ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            key = rows["key"].to_numpy()
+            edge = np.flatnonzero(key[1:] != key[:-1])
+            if len(edge):
+                cut = int(edge[-1]) + 1
+                yield answer(rows.slice(0, cut))
+                held = rows.slice(cut).combine_chunks().to_batches()
+                count -= cut
+        if count:
+            yield answer(pa.Table.from_batches(held))
 
     return run
 
@@ -271,7 +297,7 @@ def repeated_spans(docs: DataFrame, unit: Unit, resolve: Resolver, hot: int = 20
     answers = cut_lineage(
         bare.mapInArrow(_contexts(unit, repeated, hot_keys), "key bigint, context bigint, low_doc bigint, high_doc bigint, windows int, text binary")
         .repartition("key")
-        .sortWithinPartitions("key")
+        .sortWithinPartitions("key", "context")
         .mapInArrow(_answers(unit, resolve), "context bigint, runs array<struct<first: int, last: int, base: bigint>>")
     )
     losing = context.broadcast(bitmap.build(answers, "context", bits))

@@ -49,22 +49,20 @@ def tree_intervals(symbols: np.ndarray, limits: np.ndarray, length: int) -> tupl
     return order, np.concatenate([[0], np.cumsum(~deep)])
 
 
-def first_documents(texts: list[bytes], windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+def first_documents(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For all windows of all contexts, one after another, the smallest document below their node."""
-    sizes = np.array([len(t) for t in texts])
-    ends = np.cumsum(sizes)
-    block = Block(np.arange(len(texts)), np.frombuffer(b"".join(texts), dtype=np.uint8), ends - sizes, ends)
+    block = Block(np.arange(len(starts)), data, starts, ends)
     w = words(block)
     symbols = word_hashes(block.data, w)
     counts = w.last - w.first
     limits = np.repeat(w.last, counts) - np.arange(len(symbols))
     order, node = tree_intervals(symbols, limits, length)
-    owner = np.repeat(np.arange(len(texts)), counts)
+    owner = np.repeat(np.arange(len(starts)), counts)
     first = np.full(node[-1] + 1 if len(node) else 0, np.iinfo(np.int64).max)
     np.minimum.at(first, node, docs[owner[order]])
     answer = np.empty(len(symbols), dtype=np.int64)
     answer[order] = first[node]
-    return answer[np.concatenate([np.arange(f, f + n) for f, n in zip(w.first, windows)])]
+    return answer[np.arange(len(symbols)) - w.first[owner] < windows[owner]]
 
 
 def _finish(batches):

@@ -18,11 +18,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrata.llm import bitmap
 from quadrata.llm.blocks import U, Rolling, blocks, byte_symbols, mixed, with_tag, words
 from quadrata.session import cut_lineage
 
 WORD_BITS, PREFIX_BITS, PREFIX = 20, 18, 4
+FIT_ROWS = 100_000
 PRIOR, PREFIX_PRIOR, LEAST = 4.0, 10.0, 8
 DRIFT, LOWEST, HIGHEST = 1.2, -2.0, 6.0
 _STEP = 0.25  # width of the bins of token scores
@@ -179,19 +179,21 @@ def logistic(x: np.ndarray, n: np.ndarray, ones: np.ndarray) -> tuple[float, flo
     return float(beta[0]), float(beta[1])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, tag, held_out, score, predicted, passages), one row per row of ``docs`` (doc_id, text; more is ignored).
 
     ``labels`` (doc_id, toxic): rows whose crc32(doc_id as text) mod 5 is 0 are held out, null labels are ignored, of several
-    labels of a doc_id the largest counts. Only texts are inputs of a score. Null and empty texts have no segment and get the
+    labels of a doc_id the largest counts. Token scores are fitted on at most ``fit_rows`` labelled rows, those with the smallest
+    hashes; the background and the curve use all. Only texts are inputs of a score. Null and empty texts have no segment and get the
     lowest score of the curve; a null doc_id has no label. passages: the segments expected less than once in a hundred such
     documents, with their expected counts. Without labels of both classes every score is the share of label 1, or 0.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     docs = with_tag(docs)
     learned = cut_lineage(labels.where(~held_out & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    labelled, _ = bitmap.split(docs, ["doc_id"], learned)
-    model = learn(labelled.join(learned, "doc_id"))
+    # Broadcast of at most fit_rows ids and labels, so that no text is shuffled to be counted.
+    fitted = learned.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    model = learn(docs.join(F.broadcast(fitted), "doc_id"))
     scanned = cut_lineage(segments(docs, model))
     known = scanned.join(learned, "doc_id")
     background = known.where("toxic = 0")

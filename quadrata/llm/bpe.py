@@ -33,7 +33,7 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_SPACES, TWO_TO_COME, O
 # the end of a run of white space, or alone before other text.
 S_ENDING1, S_ENDING2, S_JOINED, S_WITHIN, S_ALONE, SYMBOLS = 3, 4, 5, 6, 7, 8
 _ROW = 64
-_CACHE = 200_000
+_CACHE = 100_000
 
 
 def _automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -194,45 +194,44 @@ def _encode(path: str):
     def run(batches):
         vocab = vocabulary(path)
         for batch in batches:
-            ids, offsets = [], []
             for block in blocks(batch.column("text")):
                 raw = block.data.tobytes()
-                if not raw:
-                    ids += [b""] * len(block.rows)
-                    offsets += [b""] * len(block.rows)
-                    continue
                 codes = np.frombuffer(raw.decode().encode("utf-32-le"), dtype=np.uint32)
                 width = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
                 at = np.cumsum(width) - width  # the first byte of each code point
                 first = np.zeros(len(codes), dtype=bool)
                 filled = block.ends > block.starts
                 first[np.searchsorted(at, block.starts[filled])] = True
-                cut = at[token_starts(codes, first)]
-                pieces = [raw[s:e] for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(raw)])]
-                encoded = vocab.encode(pieces)
+                cut = at[token_starts(codes, first)] if len(codes) else at
+                encoded = vocab.encode([raw[s:e] for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(raw)])])
                 low, high = np.searchsorted(cut, block.starts), np.searchsorted(cut, block.ends)
-                for a, b in zip(low.tolist(), high.tolist()):
-                    own = b"".join(encoded[a:b])
-                    size = vocab.lengths[np.frombuffer(own, dtype="<u4")]
-                    ids.append(own)
-                    offsets.append((np.cumsum(size) - size).astype("<u4").tobytes())
-            count = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), count, pa.array(ids, pa.binary()), pa.array(offsets, pa.binary())], ["doc_id", "n_tokens", "ids", "offsets"]
-            )
+                ids = [b"".join(encoded[a:b]) for a, b in zip(low.tolist(), high.tolist())]
+                sizes = [vocab.lengths[np.frombuffer(own, dtype="<u4")] for own in ids]
+                offsets = [(np.cumsum(size) - size).astype("<u4").tobytes() for size in sizes]
+                count = pa.array([len(x) // 4 for x in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(block.rows)), count, pa.array(ids, pa.binary()), pa.array(offsets, pa.binary())],
+                    ["doc_id", "n_tokens", "ids", "offsets"],
+                )
 
     return run
 
 
+_DECODED_ROWS = 128
+
+
 def _decode(path: str):
     def run(batches):
         vocab = vocabulary(path)
-        for batch in batches:
-            texts = [vocab.decode(i, o) for i, o in zip(batch.column("ids").to_pylist(), batch.column("offsets").to_pylist())]
-            digests = [hashlib.sha256(i).hexdigest() for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(digests), pa.array(texts, pa.binary())], ["doc_id", "n_tokens", "ids_sha256", "decoded"]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, _DECODED_ROWS):
+                batch = whole.slice(at, _DECODED_ROWS)
+                ids, offsets = batch.column("ids").to_pylist(), batch.column("offsets").to_pylist()
+                texts = [vocab.decode(i, o) for i, o in zip(ids, offsets)]
+                digests = pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("n_tokens"), digests, pa.array(texts, pa.binary())], ["doc_id", "n_tokens", "ids_sha256", "decoded"]
+                )
 
     return run
 

@@ -15,30 +15,47 @@ from pyspark.sql import types as T
 # Characters that Python's str.strip() removes.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-# Unicode blocks whose compatibility decompositions the built-in path covers: Latin, Greek and Cyrillic with
-# their extensions, combining marks, punctuation, letter-like and number forms, ligatures, full-width forms.
-_BLOCKS = ((0x80, 0x530), (0x1D00, 0x2190), (0x2460, 0x2500), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+# Hangul syllables are composed by arithmetic: 21 vowels and 28 endings (the first of them none) per leading consonant.
+_HANGUL, _HANGUL_END, _VOWELS, _ENDINGS = 0xAC00, 0xD7A4, 21, 28
+_LEADS_OF, _VOWELS_OF, _ENDINGS_OF = ("".join(map(chr, span)) for span in (range(0x1100, 0x1113), range(0x1161, 0x1176), range(0x11A8, 0x11C3)))
 
 
 @cache
 def _decompositions() -> tuple[str, str, str, dict[str, str]]:
-    """(one-to-one sources, their targets, dropped marks, one-to-many expansions), by the NFKD rule."""
+    """(one-to-one sources, their targets, dropped marks, one-to-many expansions) of all code points but Hangul, by the NFKD rule.
+
+    Marks that move during normalisation are all dropped, so a text may be treated character by character.
+    """
     source, target, dropped, expanded = [], [], [], {}
-    for start, stop in _BLOCKS:
-        for char in map(chr, range(start, stop)):
-            plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-            if plain == char:
-                continue
-            if not plain:
-                dropped.append(char)
-            elif len(plain) == 1:
-                source.append(char)
-                target.append(plain)
-            else:
-                expanded[char] = plain
+    for code in (*range(0x80, _HANGUL), *range(_HANGUL_END, 0xD800), *range(0xE000, 0x110000)):
+        char = chr(code)
+        if unicodedata.is_normalized("NFKD", char) and not unicodedata.combining(char):
+            continue
+        plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if not plain:
+            dropped.append(char)
+        elif len(plain) == 1:
+            source.append(char)
+            target.append(plain)
+        else:
+            expanded[char] = plain
     return "".join(source), "".join(target), "".join(dropped), expanded
 
 
+def _syllable(char: Column) -> Column:
+    """Consonant, vowel and ending of a Hangul syllable; null for any other character."""
+    place = F.ascii(char) - _HANGUL
+    ending = F.pmod(place, F.lit(_ENDINGS))
+    vowel = F.pmod(F.floor(place / _ENDINGS), F.lit(_VOWELS)).cast("int")
+    lead = F.floor(place / (_VOWELS * _ENDINGS)).cast("int")
+    parts = F.concat(
+        F.substring(F.lit(_LEADS_OF), lead + 1, F.lit(1)),
+        F.substring(F.lit(_VOWELS_OF), vowel + 1, F.lit(1)),
+        F.when(ending > 0, F.substring(F.lit(_ENDINGS_OF), ending, F.lit(1))).otherwise(""),
+    )
+    return F.when(place.between(0, _HANGUL_END - _HANGUL - 1), parts)
+
+
 def _is_ascii(col: Column) -> Column:
     return F.octet_length(col) == F.char_length(col)
 
@@ -56,20 +73,22 @@ def lookup(table: Mapping, key: Column) -> Column:
 def strip_accents(col: Column | str) -> Column:
     """Compatibility-decompose and drop combining marks.
 
-    ASCII values pass through untouched. The rare characters that decompose to several letters are expanded
+    ASCII values pass through untouched. The rare characters that decompose to several letters, and Hangul, are expanded
     letter by letter, only in the values that hold one. The argument is used several times: pass a column
     rather than a long expression.
     """
     text = F.col(col) if isinstance(col, str) else col
     source, target, dropped, expanded = _decompositions()
-    letters = F.transform(F.split(text, ""), lambda c: F.coalesce(lookup(expanded, c), c))
-    has_none = F.char_length(F.translate(text, "".join(expanded), "")) == F.char_length(text)
+    letters = F.transform(F.split(text, ""), lambda c: F.coalesce(lookup(expanded, c), _syllable(c), c))
+    has_none = (F.char_length(F.translate(text, "".join(expanded), "")) == F.char_length(text)) & ~text.rlike(
+        f"[{chr(_HANGUL)}-{chr(_HANGUL_END - 1)}]"
+    )
     wide = F.when(has_none, text).otherwise(F.concat_ws("", letters))
     return F.when(_is_ascii(text), text).otherwise(F.translate(wide, source + dropped, target))
 
 
 def strip_accents_nfkd(col: Column | str) -> Column:
-    """Full NFKD for scripts outside the built-in blocks (Hangul, ideograph forms), as a vectorised UDF."""
+    """The same rule as a vectorised UDF, for text that is mostly made of characters which decompose to several."""
     @F.pandas_udf(T.StringType())
     def decompose(values: pd.Series) -> pd.Series:
         def plain(value):

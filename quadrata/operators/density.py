@@ -21,7 +21,8 @@ from quadrata.operators.learning import silhouette
 from quadrata.operators.ordered import dense_key
 from quadrata.session import cut_lineage
 
-MAX_DIMENSIONS = 6
+#: Axes along which cells are matched through blocks; the other axes are only compared.
+BLOCK_AXES = 4
 
 
 def _distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
@@ -69,21 +70,22 @@ def _sites_and_cells(df: DataFrame, key: str, coords: Sequence[str], grid: _Grid
 def _neighbour_cells(cells: DataFrame, grid: _Grid) -> DataFrame:
     """Pairs (a, b) of occupied cells whose boxes come within eps, a cell with itself included.
 
-    Cells are matched through blocks of ``reach`` cells per side; neighbours lie in the same or an adjacent
-    block, and a block holds a bounded number of cells.
+    Cells are matched through blocks of ``reach`` cells per side along the first axes; neighbours lie in the same
+    or an adjacent block. So every cell is copied 3^BLOCK_AXES times at most, whatever the number of coordinates.
     """
     cs = grid.cols("c")
-    blocks = [F.floor(F.col(c) / grid.reach) for c in cs]
+    axes = range(min(grid.dims, BLOCK_AXES))
+    blocks = [F.floor(F.col(cs[i]) / grid.reach) for i in axes]
     shifts = F.array(
         *[
             F.struct(*[F.lit(step).alias(f"s{i}") for i, step in enumerate(shift)])
-            for shift in itertools.product((-1, 0, 1), repeat=grid.dims)
+            for shift in itertools.product((-1, 0, 1), repeat=len(axes))
         ]
     )
     left = cells.select(F.col("cell").alias("a"), *cs, F.inline(shifts)).select(
         "a",
         *[F.col(c).alias(f"a_{c}") for c in cs],
-        *[(F.floor(F.col(c) / grid.reach) + F.col(f"s{i}")).alias(f"k{i}") for i, c in enumerate(cs)],
+        *[(block + F.col(f"s{i}")).alias(f"k{i}") for i, block in enumerate(blocks)],
     )
     right = cells.select(
         F.col("cell").alias("b"),
@@ -92,7 +94,7 @@ def _neighbour_cells(cells: DataFrame, grid: _Grid) -> DataFrame:
     )
     gaps = [F.greatest(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) - 1, F.lit(0)) for c in cs]
     near = reduce(lambda s, t: s + t, [g * g for g in gaps]) * grid.side**2 <= grid.eps**2 * (1 + 1e-9)
-    return left.join(right, grid.cols("k")).where(near).select("a", "b")
+    return left.join(right, [f"k{i}" for i in axes]).where(near).select("a", "b")
 
 
 def _near_sites(some: DataFrame, pairs: DataFrame, others: DataFrame, grid: _Grid) -> DataFrame:
@@ -243,8 +245,8 @@ def dbscan(df: DataFrame, key: str, coords: Sequence[str], eps: float, min_sampl
 
 
 def _checked_grid(coords: Sequence[str], eps: float) -> _Grid:
-    if not 1 <= len(coords) <= MAX_DIMENSIONS or eps <= 0:
-        raise ValueError(f"DBSCAN needs a positive eps and 1 to {MAX_DIMENSIONS} coordinates")
+    if not coords or eps <= 0:
+        raise ValueError("DBSCAN needs a positive eps and at least one coordinate")
     return _Grid(float(eps), len(coords))
 
 

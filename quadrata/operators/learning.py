@@ -96,7 +96,7 @@ def train_eval(df: DataFrame, key: str, features: Sequence[str], target: str, sh
 
 
 def forest_importance(
-    df: DataFrame, feature_sets: Mapping[str, Sequence[str]], target: str, trees: int = 100, depth: int = 10, seed: int = 42
+    df: DataFrame, feature_sets: Mapping[str, Sequence[str]], target: str, trees: int = 100, depth: int = 30, seed: int = 42
 ) -> DataFrame:
     """(feature_set, feature, importance) of a random forest per feature set; every split sees all features."""
     rows = []

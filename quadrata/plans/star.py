@@ -49,8 +49,12 @@ def dim_natural(df: DataFrame, columns: Sequence[str], required: Sequence[str],
 
 
 def dim_static(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
-    """Catalogue dimension from fixed rows."""
-    return spark.createDataFrame(rows, schema)
+    """Catalogue dimension from fixed rows, as literals of a one-row frame: the optimiser knows that it is small."""
+    kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    members = [F.struct(*[F.lit(v).cast(k.dataType).alias(k.name) for v, k in zip(row, kinds, strict=True)]) for row in rows]
+    if not members:
+        return spark.createDataFrame([], kinds)
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*members)))
 
 
 def fact(df: DataFrame, columns: Sequence[str], constants: Mapping[str, object] | None = None) -> DataFrame:

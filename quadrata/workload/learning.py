@@ -120,9 +120,47 @@ def covariance(spark: SparkSession, folder: str) -> DataFrame:
     return statistics.covariance_matrix(scaled, [f"{c}_z" for c in MEASURES], 6)
 
 
-@query("ols")
+_OLS = ("l_quantity", "l_discount", "l_tax")
+
+
+def _ols_sql() -> str:
+    """Centred normal equations of three regressors, solved by cofactors."""
+    pairs = [(i, j) for i in range(3) for j in range(i, 3)]
+    sums = ", ".join(f"count(*) * covar_pop({_OLS[i]}, {_OLS[j]}) AS s{i}{j}" for i, j in pairs)
+    cross = ", ".join(f"count(*) * covar_pop({x}, l_extendedprice) AS c{i}, avg({x}) AS m{i}" for i, x in enumerate(_OLS))
+
+    def s(i: int, j: int) -> str:
+        return f"s{min(i, j)}{max(i, j)}"
+
+    def cofactor(i: int, j: int) -> str:
+        (a, b), (c, d) = ([k for k in range(3) if k != x] for x in (i, j))
+        sign = "" if (i + j) % 2 == 0 else "-"
+        return f"{sign}({s(a, c)} * {s(b, d)} - {s(a, d)} * {s(b, c)})"
+
+    inverse = ", ".join(f"{cofactor(i, j)} / det AS v{i}{j}" for i, j in pairs)
+
+    def v(i: int, j: int) -> str:
+        return f"v{min(i, j)}{max(i, j)}"
+
+    slopes = ", ".join(f"{' + '.join(f'{v(i, j)} * c{j}' for j in range(3))} AS b{i}" for i in range(3))
+    around = " + ".join(f"m{i} * m{j} * {v(i, j)}" for i in range(3) for j in range(3))
+    terms = [(x, f"b{i}", f"sqrt(mse * v{i}{i})") for i, x in enumerate(_OLS)]
+    terms.append(("const", "my - b0 * m0 - b1 * m1 - b2 * m2", f"sqrt(mse * (1.0 / n + {around}))"))
+    rows = " UNION ALL ".join(f"SELECT '{t}' AS term, {b} AS b, {e} AS e, r2, n FROM fit" for t, b, e in terms)
+    return f"""WITH m AS (SELECT count(*) AS n, {sums}, {cross}, avg(l_extendedprice) AS my,
+     count(*) * var_pop(l_extendedprice) AS yy FROM lineitem),
+    d AS (SELECT *, {" + ".join(f"{s(0, j)} * ({cofactor(0, j)})" for j in range(3))} AS det FROM m),
+    i AS (SELECT *, {inverse} FROM d), w AS (SELECT *, {slopes} FROM i),
+    fit AS (SELECT *, (yy - b0 * c0 - b1 * c1 - b2 * c2) / (n - 4) AS mse, (b0 * c0 + b1 * c1 + b2 * c2) / yy AS r2 FROM w)
+    SELECT term, {rounded("b", 3)} AS coefficient, {rounded("e", 3)} AS std_err, {rounded("b / e", 3)} AS t,
+     {rounded("r2")} AS r_squared, {rounded("r2 / 3 / ((1 - r2) / (n - 4))", 2)} AS f_value, n FROM ({rows})"""
+
+
+@query("ols", _ols_sql())
 def ols(spark: SparkSession, folder: str) -> DataFrame:
-    return learning.ols(load(spark, folder, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    fit = learning.ols(load(spark, folder, "lineitem"), list(_OLS), "l_extendedprice")
+    digits = {"coefficient": 3, "std_err": 3, "t": 3, "r_squared": 6, "f_value": 2}
+    return fit.select("term", "n", *[(F.round(c, d) + 0.0).alias(c) for c, d in digits.items()])
 
 
 @query(
@@ -142,11 +180,15 @@ def train_eval(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("rf_importance")
 def rf_importance(spark: SparkSession, folder: str) -> DataFrame:
-    """Feature importances over the panel, for two feature sets, the second with a composite index."""
+    """Feature importances over the panel: single features, a composite index among others, and all of them."""
     rows = cut_lineage(
         panel(spark, folder).withColumn("rate_index", row_mean(["discount_wmean", "tax_wmean"]))
     )
-    sets = {"single": ["price_wmean", "weight_sum"], "composite": ["rate_index", "weight_sum", "balance_total"]}
+    sets = {
+        "single": ["price_wmean", "weight_sum"],
+        "composite": ["rate_index", "weight_sum", "balance_total"],
+        "all": ["price_wmean", "weight_sum", "discount_wmean", "tax_wmean", "rate_index", "balance_total"],
+    }
     return learning.forest_importance(rows, sets, "target")
 
 
@@ -178,6 +220,20 @@ def pca(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(ratios, 1)), "component int, explained_ratio double")
 
 
+@query(
+    "pca_pair",
+    f"""WITH m AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+    SELECT 1 AS component, {rounded("(1 + r) / 2")} AS explained_ratio FROM m
+    UNION ALL SELECT 2, {rounded("(1 - r) / 2")} FROM m""",
+)
+def pca_pair(spark: SparkSession, folder: str) -> DataFrame:
+    """Explained variance of two standardised measures, whose principal components have a closed form."""
+    pair = ["l_quantity", "l_extendedprice"]
+    scaled = learning.scaled_features(load(spark, folder, "lineitem").select(*pair), pair)
+    _, ratios = learning.pca(scaled)
+    return spark.createDataFrame([(i, round(r, 6)) for i, r in enumerate(ratios, 1)], "component int, explained_ratio double")
+
+
 @query(
     "cluster_summary",
     on_lines(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quadrata.functions.dates import time_id
+from quadrata.functions.text import lookup
 from quadrata.operators import aggregates as ag
 from quadrata.operators import olap
 from quadrata.operators.learning import model_matrix
@@ -554,9 +555,10 @@ def star_join(spark: SparkSession, folder: str) -> DataFrame:
             "entity_id": dim_entity(spark, folder),
             "time_id": dim_time(spark, folder),
             "subtype_id": dim_subtype(spark),
-            "source_id": dim_source(spark),
         },
     )
-    return joined.select(
+    # The source of a fact is a constant, so its member is attached as a column and not joined.
+    named = joined.withColumn("source_name", lookup({i: name for name, i in SOURCE_IDS.items()}, F.col("source_id")))
+    return named.select(
         "nation", "region_name", "year", "month_name", "quarter", "class", "source_name", "n", "located"
     )

@@ -174,7 +174,7 @@ def crowd(dims, seed):
     return [(k, *p) for k, p in zip(keys, points)]
 
 
-@pytest.mark.parametrize("dims,eps", [(1, 0.3), (2, 1.0), (3, 2.0)])
+@pytest.mark.parametrize("dims,eps", [(1, 0.3), (2, 1.0), (3, 2.0), (7, 3.0)])
 def test_dbscan_equals_brute_force(spark, dims, eps):
     points = crowd(dims, dims)
     coords = [f"c{i}" for i in range(dims)]

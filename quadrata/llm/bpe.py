@@ -33,7 +33,8 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_SPACES, TWO_TO_COME, O
 # the end of a run of white space, or alone before other text.
 S_ENDING1, S_ENDING2, S_JOINED, S_WITHIN, S_ALONE, SYMBOLS = 3, 4, 5, 6, 7, 8
 _ROW = 64
-_CACHE = 100_000
+_CACHE = 200_000
+_SHORT = 64
 
 
 def _automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +130,8 @@ class Vocabulary:
         self.lengths = np.array([len(t) for t in self.texts], dtype=np.int64)
         self.begins = np.cumsum(self.lengths) - self.lengths
         self.joined = np.frombuffer(b"".join(self.texts), dtype=np.uint8)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}  # lately met pre-tokens, at most _CACHE
+        self.older: dict[bytes, bytes] = {}  # those before them
 
     def merged(self, piece: bytes) -> bytes:
         """Ids of a pre-token as little-endian 32-bit integers: the lowest rank is merged first, leftmost on ties."""
@@ -137,6 +139,8 @@ class Vocabulary:
         if piece in ranks:
             return ranks[piece].to_bytes(4, "little")
         n = len(piece)
+        if n <= _SHORT:
+            return self._merged_short(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         ends = list(range(1, n + 1))  # part i is piece[i:ends[i]]; 0 marks a part merged away
         heap = [(r, i, 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
@@ -157,6 +161,21 @@ class Vocabulary:
                         heapq.heappush(heap, (r, left, end - left))
         return b"".join(ranks[piece[i : ends[i]]].to_bytes(4, "little") for i in range(n) if ends[i])
 
+    def _merged_short(self, piece: bytes) -> bytes:
+        """The same for few bytes, where a plain search for the lowest rank is faster than a heap."""
+        ranks, none = self.ranks, len(self.texts)
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        pairs = [ranks.get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        while pairs and (low := min(pairs)) < none:
+            i = pairs.index(low)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+        return b"".join([ranks[part].to_bytes(4, "little") for part in parts])
+
     def encode(self, pieces: list[bytes]) -> list[bytes]:
         known = self.known
         out = list(map(known.get, pieces))
@@ -165,9 +184,10 @@ class Vocabulary:
                 piece = pieces[i]
                 ids = known.get(piece)
                 if ids is None:
-                    ids = self.merged(piece)
+                    ids = self.older.get(piece) or self.merged(piece)
                     if len(known) >= _CACHE:
-                        known.clear()
+                        self.known, self.older = {}, known
+                        known = self.known
                     if len(piece) <= 256:
                         known[piece] = ids
                 out[i] = ids

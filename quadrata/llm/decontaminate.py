@@ -168,6 +168,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similar
     shape = "doc_id bigint, tag int, size int, start int, n_words int, print bigint, shingles array<bigint>"
     windows = docs.select("doc_id", "text", "tag").mapInArrow(_windows(shingle, similarity, lengths, any_size, own_size), shape)
     windows = cut_lineage(windows)
+    for used in (any_size, own_size):
+        used.destroy()
     width = 64 // BLOCKS
     part = lambda value, i: F.shiftright(value, width * i).bitwiseAND((1 << width) - 1)
     every = range(BLOCKS)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quadrata.llm import bitmap
 from quadrata.llm.blocks import with_tag
+from quadrata.session import cut_lineage
 
 PREFIX_BYTES = 256
 
@@ -84,7 +85,10 @@ def exact_groups(docs: DataFrame, digest_all: bool = False, bits: int = bitmap.B
     again = lambda hashes: bitmap.build(hashes.groupBy("h").count().where("count > 1"), "h", bits)
     lengths = context.broadcast(again(rows.mapInArrow(_lengths, "h bigint")))
     prefixes = context.broadcast(again(rows.mapInArrow(_prefixes(lengths), "h bigint")))
-    hashed = rows.mapInArrow(_wholes(lengths, prefixes, digest_all), "doc_id bigint, tag int, text_sha256 string, survives boolean")
+    shape = "doc_id bigint, tag int, text_sha256 string, survives boolean"
+    hashed = cut_lineage(rows.mapInArrow(_wholes(lengths, prefixes, digest_all), shape))  # asked three times below
+    for used in (lengths, prefixes):
+        used.destroy()
     groups = (
         hashed.where("survives")
         .groupBy("text_sha256")

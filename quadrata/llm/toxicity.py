@@ -141,10 +141,12 @@ def _segments(model):
 
 
 def segments(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, tag, n_words, segments, bins): every maximal segment in words, and how the word scores are spread."""
+    """(doc_id, tag, n_words, segments, bins): every maximal segment in words, and how the word scores are spread; checkpointed."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     shape = "doc_id bigint, tag int, n_words int, segments array<struct<start: int, end: int, score: double>>, bins array<int>"
-    return docs.select("doc_id", "text", "tag").mapInArrow(_segments(shared), shape)
+    scanned = cut_lineage(docs.select("doc_id", "text", "tag").mapInArrow(_segments(shared), shape))
+    shared.destroy()
+    return scanned
 
 
 def gumbel(bins: np.ndarray) -> float:
@@ -194,7 +196,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
     # Broadcast of at most fit_rows ids and labels, so that no text is shuffled to be counted.
     fitted = learned.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     model = learn(docs.join(F.broadcast(fitted), "doc_id"))
-    scanned = cut_lineage(segments(docs, model))
+    scanned = segments(docs, model)
     known = scanned.join(learned, "doc_id")
     background = known.where("toxic = 0")
     spread = background.select(F.posexplode("bins").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect()

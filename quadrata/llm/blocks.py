@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -26,6 +26,11 @@ _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on this session hands rows to Python in batches of at most ``size``, or of one longer row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def with_tag(docs: DataFrame) -> DataFrame:
     """doc_id, text and a tag that tells rows of one doc_id with different texts apart."""
     return docs.select("doc_id", "text", F.xxhash64("text").bitwiseAND(0xFFFFFF).cast("int").alias("tag"))

@@ -37,16 +37,21 @@ def tree_intervals(symbols: np.ndarray, limits: np.ndarray, length: int) -> tupl
 
     ``limits``: symbols left to each suffix before its context ends. Neighbouring leaves hang below one such node exactly
     if their common prefix, read off the tree's edges, is ``length`` long; a leaf that hangs alone has a node of its own.
+    Suffixes with fewer symbols left run over into the next context; they come last, each with a node of its own, since
+    between two equal windows they would part them.
     """
     order = np.argsort(suffix_order(symbols, length), kind="stable")
+    fits = limits[order] >= length
+    order, short = order[fits], order[~fits]
     a, b = order[:-1], order[1:]
     common = np.zeros(len(a), dtype=np.int64)
-    live = np.flatnonzero((limits[a] >= length) & (limits[b] >= length))
+    live = np.arange(len(a))
     for k in range(length):
         live = live[symbols[a[live] + k] == symbols[b[live] + k]]
         common[live] = k + 1
-    deep = common >= length
-    return order, np.concatenate([[0], np.cumsum(~deep)])
+    apart = np.concatenate([common < length, np.ones(len(short), dtype=bool)])
+    leaves = np.concatenate([order, short])
+    return leaves, np.concatenate([[0], np.cumsum(apart[: len(leaves) - 1])])[: len(leaves)]
 
 
 def first_documents(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:

@@ -65,6 +65,33 @@ def test_substring_rows_without_or_with_equal_ids(spark):
     assert sorted(len(r[1]) for r in kept) == [0, 0, len(" eight"), len(text), len("nine " + text)]
 
 
+def test_runs_of_one_word(spark):
+    """Suffixes that overhang their context must not part equal windows of one word."""
+    rng = random.Random(50)
+    runs = [50, 51, 300, 50, 51, 50, 300, 51, 50, 50, 51, 50]
+    rows = []
+    for d, n in enumerate(runs * 3):
+        around = [[f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 30]))] for _ in range(2)]
+        rows.append((d, " ".join([*around[0], *["x"] * n, *around[1]])))
+    got = substring_tree.drop_repeated_words(table(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(map(tuple, got.collect())) == sorted(brute.words_removed(rows, 50))
+
+
+@pytest.mark.parametrize("words", ["y x50|x50", "y x50|x49 z|w x50", "x49 z|y x50|x51"])
+def test_equal_windows_have_one_node(words):
+    contexts = [" ".join(" ".join(["x"] * int(w[1:])) if w[0] == "x" else w for w in c.split()) for c in words.split("|")]
+    for salt in range(12):  # other words, other order of their hashes
+        own = [c.replace("x", f"x{salt}").split() for c in contexts]
+        data = [" ".join(c).encode() for c in own]
+        ends = np.cumsum([len(d) for d in data])
+        counts = np.array([max(0, len(c) - 49) for c in own])
+        found = substring_tree.first_documents(
+            np.frombuffer(b"".join(data), dtype=np.uint8), ends - [len(d) for d in data], ends, counts, np.arange(len(own)), 50
+        )
+        windows = [(d, tuple(c[i : i + 50])) for d, c in enumerate(own) for i in range(len(c) - 49)]
+        assert found.tolist() == [min(d for d, v in windows if v == w) for _, w in windows]
+
+
 @pytest.mark.parametrize("run", [substring_tree.drop_repeated_words, bwt_intervals.drop_repeated_bytes, exact_dedup.exact_groups, simhash_ball.near_groups])
 def test_empty_table(spark, run):
     assert run(table(spark, [(1, "a")]).where("doc_id = 0")).collect() == []

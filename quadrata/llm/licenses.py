@@ -42,11 +42,10 @@ def _spelled(df: DataFrame, text: str) -> DataFrame:
     return df.select(*keys, F.explode(found).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
-def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """How many files there are and how many hold each term of the vocabulary; one row per term reaches the driver."""
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """(term, df): in how many files each term occurs."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({_TERM})"), F.lit(1)))
-    held = files.select(F.explode(F.array_intersect(words, F.lit(vocabulary))).alias("term")).groupBy("term").count()
-    return files.count(), {r["term"]: r["count"] for r in held.collect()}
+    return files.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
 def scan(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -55,16 +54,17 @@ def scan(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold:
     origin: ``header`` for the most similar line, ``file`` for a licence file (by its name, or because its whole text is
     similar by WHOLE or more), ``inherited`` from the licence file in the nearest directory at or above the file's own; null if there is none. Ties go to
     the first license by name, then the first line, then the first path. Weights are tf times ln((1+N)/(1+df))+1 over
-    all files; terms outside the templates count as unseen. Null or empty texts have no header; a null path has no directory.
+    all files, for the terms of the files as for those of the templates. Null or empty texts have no header; a null path has no directory.
     Rows that repeat file_id, path and text get equal results.
     """
     spark = files.sparkSession
     files = files.select("file_id", "path", "text", F.xxhash64("path", "text").alias("tag"))
     counted = {name: terms(text) for name, text in templates.items()}
     vocabulary = sorted(set().union(*counted.values()))
-    n, df = document_frequencies(files, vocabulary)
+    n, held = files.count(), cut_lineage(document_frequencies(files))
+    df = {r["term"]: r["df"] for r in held.where(F.col("term").isin(vocabulary)).collect()}
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-    unseen = math.log(1 + n) + 1
+    idfs = held.select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"))
     weights, heavy = [], set()
     for name, tf in counted.items():
         own = {t: c * idf[t] for t, c in tf.items()}
@@ -78,14 +78,13 @@ def scan(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold:
             rest -= (w / norm) ** 2
     # The terms of the templates are the only thing joined by broadcast: a parameter, and a few dozen rows.
     template = F.broadcast(spark.createDataFrame(weights, "license string, term string, weight double"))
-    idfs = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
     telling = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in sorted(heavy)) + r")(?![a-z0-9])"
     holding = files.where(F.col("text").rlike(telling))
     lines = holding.select("file_id", "tag", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line", "text")).where(F.col("text").rlike(telling))
     whole = holding.select("file_id", "tag", F.lit(-1).alias("line"), "text")
-    vectors = cut_lineage(_spelled(lines.unionByName(whole), "text").join(idfs, "term", "left"))
+    vectors = cut_lineage(_spelled(lines.unionByName(whole), "text").join(idfs, "term"))
     key = ["file_id", "tag", "line"]
-    size = vectors.groupBy(*key).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.coalesce("idf", F.lit(unseen)), 2))).alias("norm"))
+    size = vectors.groupBy(*key).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
     dots = vectors.join(template, "term").groupBy(*key, "license").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
     same = [F.col("d.file_id").eqNullSafe(F.col("s.file_id")), F.col("d.tag") == F.col("s.tag"), F.col("d.line") == F.col("s.line")]
     similar = dots.alias("d").join(size.alias("s"), same).select("d.*", (F.col("dot") / F.col("norm")).alias("similarity"))

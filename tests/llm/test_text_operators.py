@@ -247,6 +247,20 @@ def test_licenses_are_found_and_inherited(spark):
     assert licenses.scan(frame.where("file_id < 0")).collect() == []
 
 
+def test_license_weights_depend_on_shares_and_not_on_the_number_of_files(spark):
+    """A notice among common words is as similar in a table of 60 times as many files."""
+    prose = "the code comes with this"
+    more = {0: "\nThis code comes with the MIT License", 1: " released", 2: " under"}
+    found = []
+    for n in (40, 2400):
+        rows = [(i, f"d{i}/x", prose + more.get(i % 20, "")) for i in range(n)]
+        frame = spark.createDataFrame(rows, "file_id bigint, path string, text string")
+        found.append({r.file_id % 20: (r.license, r.origin, r.similarity) for r in licenses.scan(frame).collect()})
+    assert [f[0][:2] for f in found] == [("MIT", "header")] * 2
+    assert all(f[i] == (None, None, None) for f in found for i in range(1, 20))
+    assert found[0][0][2] == pytest.approx(found[1][0][2], abs=0.06)
+
+
 # --- Urls --------------------------------------------------------------------------------------------------------
 
 RULES = [("block", "bad.org", "/"), ("allow", "ok.bad.org", "/"), ("block", "net", "/x/"), ("allow", "a.net", "/x/y"), ("allow", "good.org", "/")]

@@ -261,6 +261,25 @@ def test_license_weights_depend_on_shares_and_not_on_the_number_of_files(spark):
     assert found[0][0][2] == pytest.approx(found[1][0][2], abs=0.06)
 
 
+def test_licenses_are_found_within_long_lines(spark):
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"term{rng.randrange(400)}" for _ in range(n))
+    rows, want = [], {}
+    for i, (name, notice) in enumerate(licenses.TEMPLATES.items()):
+        for k, (a, b) in enumerate([(0, 200), (200, 0), (3000, 3000), (9, 7), (0, 30)]):
+            rows.append((10 * i + k, f"d{i}-{k}/x", f"{say(a)} {notice} {say(b)}"))
+            want[10 * i + k] = (name, 1.0, "header")
+    rows.append((900, "e/x", f"{say(50)} the MIT of the {say(50)}"))
+    rows.append((901, "f/x", f"{say(40)} Licensed under the terms of the Apache License, Version 2.0. {say(40)} Apache"))
+    want |= {900: (None, None, None), 901: ("Apache-2.0", None, "header")}
+    got = {r.file_id: r for r in licenses.scan(spark.createDataFrame(rows, "file_id bigint, path string, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, (name, similarity, origin) in want.items():
+        assert (got[i].license, got[i].origin) == (name, origin) and (similarity is None or got[i].similarity == similarity), rows[i % 10]
+    plan = licenses.scan(spark.createDataFrame(rows, "file_id bigint, path string, text string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 # --- Urls --------------------------------------------------------------------------------------------------------
 
 RULES = [("block", "bad.org", "/"), ("allow", "ok.bad.org", "/"), ("block", "net", "/x/"), ("allow", "a.net", "/x/y"), ("allow", "good.org", "/")]

@@ -59,11 +59,37 @@ def with_rule(urls: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFra
     return urls.join(by_host, "host", "left").withColumns({"rule": best["rule"], "ruled": best["verdict"]}).drop("_rules")
 
 
+def _without_dots(path: Column) -> Column:
+    """The path after its ``.`` and ``..`` steps."""
+    steps = F.split(path, "/")
+    steps = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(steps, F.array(F.lit("")))).otherwise(steps)
+    up = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))  # noqa: E731  the empty step before the first / stays
+    step = lambda done, s: F.when(s == "..", up(done)).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.array_join(F.aggregate(steps, F.array().cast("array<string>"), step), "/")).otherwise(path)
+
+
+def _resolved(url: Column, target: Column) -> Column:
+    """``target`` as seen from ``url``: a path starts at the folder of the url's path, a query at the path; null for other schemes."""
+    root = F.regexp_extract(url, r"^[^/?#]*://[^/?#]*", 0)
+    path = path_of(url)
+    folder = F.concat(F.regexp_extract(path, r"^(.*)/", 1), F.lit("/"))
+    own = F.regexp_extract(target, r"^[^?#]*", 0)
+    rest = F.substr(target, F.length(own) + 1)
+    placed = F.when(own == "", path).when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.startswith("#") | target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .otherwise(F.concat(root, _without_dots(placed), rest))
+    )
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """(a, b) of every canonical link and redirect in the html of (url, html), as nodes; relative targets start at the host."""
+    """(a, b) of every canonical link and redirect in the html of (url, html), as nodes; relative targets are resolved, &amp; is unescaped."""
     tag = r"(?is)<(?:link|meta)\b[^>]*>"
     html = F.coalesce("html", F.lit(""))
     tags = pages.select("url", F.explode(F.regexp_extract_all(html, F.lit(tag), F.lit(0))).alias("tag"))
+    tags = tags.withColumn("tag", F.regexp_replace("tag", "&(?:amp|#38|#[xX]26);", "&"))
     canonical = F.when(
         F.col("tag").rlike(r"(?is)^<link\b[^>]*\brel\s*=\s*[\"']?[^\"'>]*\bcanonical\b"), F.regexp_extract("tag", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     )
@@ -71,9 +97,7 @@ def links(pages: DataFrame) -> DataFrame:
         F.col("tag").rlike(r"(?is)^<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b"), F.regexp_extract("tag", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)
     )
     target = F.nullif(F.coalesce(canonical, redirect), F.lit(""))
-    rooted = F.when(target.contains("://"), target).when(target.startswith("//"), F.concat(F.lit("http:"), target)).when(
-        target.startswith("/"), F.concat(F.regexp_extract("url", r"^[^/?#]*://[^/?#]*", 0), target)
-    )
+    rooted = _resolved(F.col("url"), target)
     return tags.select(node_of(F.col("url")).alias("a"), node_of(rooted).alias("b")).dropna().where("a <> b").distinct()
 
 

@@ -312,6 +312,28 @@ def test_urls_follow_rules_and_aliases(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_relative_and_escaped_targets_are_aliases(spark):
+    canonical = lambda u: f'<link rel="canonical" href="{u}">'
+    refresh = lambda u: f'<meta http-equiv="refresh" content="0; url={u}">'
+    rows = [
+        (1, "http://a.com/d/one.html?x=1#y", canonical("two.html"), "block"),
+        (2, "http://a.com/d/two.html", refresh("../e/three.html"), "block"),
+        (3, "http://a.com/e/three.html", canonical("?id=2&amp;k=3"), "block"),
+        (4, "http://a.com/e/three.html?id=2&k=3", refresh("/go?to=1&amp;from=2"), "block"),
+        (5, "http://a.com/go?to=1&from=2", canonical("./f/./g/../h?back=http://x.com/"), "block"),
+        (6, "http://a.com/f/h?back=http://x.com/", refresh("http://bad.org/z?a=1&amp;b=2"), "block"),
+        (7, "http://b.com", canonical("p"), "block"),
+        (8, "http://b.com/p", canonical("../../../q/.."), "block"),
+        (9, "http://b.com/", canonical("//BAD.org/z?a=1&amp;b=2"), "block"),
+        (10, "http://c.com/p", canonical("mailto:someone@bad.org"), "allow"),
+        (11, "http://c.com/q?r", canonical("#bad"), "allow"),
+        (12, "http://c.com/mailto:someone@bad.org", canonical("http://bad.org/z"), "block"),
+    ]
+    frame = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(frame, RULES).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
 def test_pipeline_stages_drop_what_they_should(spark, tmp_path):
     import corpus_pipeline
 

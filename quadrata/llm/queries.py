@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrata.llm import bpe, bwt_intervals, chat_tree, decontaminate, exact_dedup, licenses, simhash_ball, substring_tree, toxicity, url_filter
+from quadrata.llm import (
+    bpe,
+    bwt_intervals,
+    chat_tree,
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    licenses,
+    multi_index,
+    periodic_runs,
+    simhash_ball,
+    substring_tree,
+    toxicity,
+    url_filter,
+)
 from quadrata.llm.blocks import with_tag
+from quadrata.llm.vectors import finite
 from quadrata.session import load
 from quadrata.workload.base import Query
 
@@ -170,3 +185,96 @@ FROM t WINDOW w AS (PARTITION BY s)"""
 )
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(load(spark, folder, "documents"), digest_all=True).drop("tag")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; the words of every tenth text (by a hash of its id) repeat themselves from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    placed = split.select("doc_id", "text", "w", n.alias("n"), (g % F.when(n > 0, n)).cast("int").alias("a"), (3 + g % 8).cast("int").alias("k"))
+    left = F.col("n") - F.col("a")
+    cycle = placed.select("doc_id", "text", "w", "n", "a", left.alias("left"), (1 + F.floor(left / F.col("k"))).cast("int").alias("p"))
+    period = F.slice("w", F.col("a") + 1, F.col("p"))
+    again = F.flatten(F.array_repeat(period, F.ceil(F.col("left") / F.col("p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("left"))), " ")
+    return cycle.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+# Fixed value: the reversed polynomial of CRC-32.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),"
+    " lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda z: CAST(0 AS BIGINT))),"
+    " lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295)"
+)
+
+
+@query(
+    f"""
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS v, {_CRC} AS h FROM documents),
+c AS (SELECT doc_id, v, len(v) AS n, h % 10 = 0 AND len(v) > 0 AS hit, CASE WHEN len(v) > 0 THEN (h // 10) % len(v) END AS a, 3 + (h // 10) % 8 AS k FROM t),
+m AS (SELECT *, 1 + (n - a) // k AS p FROM c),
+n AS (SELECT doc_id, n, v, hit, a, p, unnest(range(0, n)) AS i FROM m),
+w AS (SELECT doc_id, n, i, v[1 + CASE WHEN hit AND i >= a THEN a + (i - a) % p ELSE i END] AS x FROM n),
+g AS (
+ SELECT doc_id, i, array_to_string(list(x) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {periodic_runs.LENGTH // 2 - 1} FOLLOWING), ' ') AS s,
+  i + {periodic_runs.LENGTH // 2} <= n AS whole FROM w),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i WHERE x.whole AND y.whole),
+isle AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+long AS (SELECT doc_id, q, min(i) AS s, max(i) + {periodic_runs.LENGTH // 2} + q AS e FROM isle GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, s AS start, e - s AS length, min(q) AS period FROM long WHERE e - s >= {periodic_runs.LENGTH} AND e - s >= 2 * q GROUP BY doc_id, s, e),
+said AS (
+ SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+  min(struct_pack(l := -length, s := start, p := period)) AS top FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (SELECT w.doc_id, string_agg(x, ' ' ORDER BY i) AS s FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY w.doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(-top.l AS BIGINT) AS length, CAST(top.p AS BIGINT) AS period,
+ CAST(1000 * -top.l // top.p AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(s, '')) AS collapsed_sha256
+FROM t LEFT JOIN said USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+)
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted(load(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.try_element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))), F.lit(1))
+    told = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), longest.alias("top"), lines.alias("lines"), "collapsed")
+    return told.select(
+        "doc_id",
+        "n_runs",
+        F.col("top.s").alias("start"),
+        (-F.col("top.l")).alias("length"),
+        F.col("top.p").alias("period"),
+        F.floor(-1000 * F.col("top.l") / F.col("top.p")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("\n", F.array_append("lines", F.when(F.size("lines") > 0, "").otherwise(F.lit(None)))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    f"""
+WITH e AS (
+ SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+ SELECT a.vec_id AS anchor_id, a.label AS own, o.vec_id, o.label, CAST(list_dot_product(a.v, o.v) AS BIGINT) AS score
+ FROM e a JOIN e o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own = label
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES}),
+n AS (
+ SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+ FROM p JOIN s USING (anchor_id) WHERE own <> label AND {hard_negatives.LOW} * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {hard_negatives.NEGATIVES}"""
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vector, label = F.col("embedding"), F.col("label").cast("bigint")
+    whole = F.when(finite(vector), F.transform(vector, lambda x: F.floor(256 * x.cast("double"))))
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = load(spark, folder, "embeddings").select("vec_id", moved.alias("label"), whole.alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = load(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return multi_index.nearest(rows, F.col("vec_id") % 50 == 0)

@@ -41,15 +41,30 @@ def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from all the columns."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def split(df: DataFrame, keys: list[str], members: DataFrame, bits: int = ROW_BITS) -> tuple[DataFrame, DataFrame]:
     """Rows of ``df`` whose keys may be among those of ``members``, and rows whose keys surely are not.
 
     Only the first part needs a shuffle to be joined with ``members``. The broadcast side has 2**(bits - 6) rows at most.
+    Columns of any other name stay as they are.
     """
+    word, held = unused(df.columns, "word", "bits")
     h = F.xxhash64(*keys)
     place = _place(h, bits)
-    small = F.broadcast(rows(members, h, bits).toDF("_word", "_bits"))
-    joined = df.join(small, F.shiftrightunsigned(place, 6).cast("int") == F.col("_word"), "left")
+    small = F.broadcast(rows(members, h, bits).toDF(word, held))
+    joined = df.join(small, F.shiftrightunsigned(place, 6).cast("int") == F.col(word), "left")
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(63).cast("int"))
-    hit = F.coalesce(F.col("_bits").bitwiseAND(mask) != 0, F.lit(False))
-    return joined.where(hit).select(df.columns), joined.where(~hit).select(df.columns)
+    hit = F.coalesce(F.col(held).bitwiseAND(mask) != 0, F.lit(False))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return joined.where(hit).select(own), joined.where(~hit).select(own)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 U = np.uint64
 BLOCK_BYTES = 1 << 18
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -28,7 +29,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def small_batches(spark: SparkSession, size: str = "4m") -> None:
     """From now on this session hands rows to Python in batches of at most ``size``, or of one longer row."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set(BATCH_BYTES, size)
 
 
 def with_tag(docs: DataFrame) -> DataFrame:

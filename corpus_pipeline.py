@@ -1,8 +1,9 @@
-"""A corpus pipeline: toxicity, exact dedup, near-dedup by shingles, benchmark decontamination, byte-level BPE.
+"""A corpus pipeline: toxicity, exact dedup, SimHash near-dedup, benchmark decontamination, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; its result is written as Parquet and read
 again as the docs of the next one. All but the last return the columns of documents. The stages share Python workers that
-stay alive, so each bounds the batches that reach them by bytes: texts differ in length, and rows alone bound nothing.
+stay alive, so each bounds the batches that reach them by bytes: texts differ in length, and rows alone bound nothing. The
+session keeps that bound after a stage that is called by itself; run() puts the earlier one back.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrata.llm import bpe, decontaminate, exact_dedup, near_copies, toxicity
-from quadrata.llm.blocks import small_batches, with_tag
+from quadrata.llm import bpe, decontaminate, exact_dedup, simhash_ball, toxicity
+from quadrata.llm.blocks import BATCH_BYTES, small_batches, with_tag
 from quadrata.llm.stages import without
 from quadrata.session import load, scratch_path
 
@@ -30,9 +31,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by steps of five-word shingles alike by 0.8 or more, the one with the smallest doc_id."""
+    """Of documents joined by steps of SimHash fingerprints within four bits, the one with the smallest doc_id."""
     small_batches(spark)
-    return without(docs, near_copies.near_copies(docs).where("not doc_id <=> component_id"))
+    return without(docs, simhash_ball.near_groups(docs).where("not doc_id <=> component_id"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +62,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    before = spark.conf.get(BATCH_BYTES)
+    try:
+        for name, stage in STAGES:
+            path = scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
     return docs

@@ -3,7 +3,7 @@
 Cells have the diagonal eps, so a cell with ``min_samples`` points holds core points only and its points need
 no comparison with each other. Points of the other cells, fewer than ``min_samples`` per cell, are compared
 with the neighbouring cells. Two core cells are joined if some pair of their core points lies within eps;
-this is decided on shrinking boxes and never by listing the pairs of two crowded cells.
+this is decided on shrinking boxes and never by listing the pairs of two crowded cells. Several radii share one forest.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrata.operators.learning import silhouette
 from quadrata.operators.ordered import dense_key
-from quadrata.session import cut_lineage
+from quadrata.operators.silhouette import silhouettes
+from quadrata.session import cut_lineage, written
 
 #: Axes along which cells are matched through blocks; the other axes are only compared.
 BLOCK_AXES = 4
@@ -256,18 +256,97 @@ def _back_to_rows(df: DataFrame, key: str, coords: Sequence[str], grid: _Grid, s
     return rows.join(sites, xs).drop(*xs)
 
 
+@dataclass(frozen=True)
+class RadiusForest:
+    """The clusters of all radii in one forest.
+
+    ``sites``: (x0.., site, n, core, labels), one row per distinct position: its number in the order of the smallest keys, how
+    many rows it has, the place of the first radius at which it is core (null: at none), and for every radius the smallest
+    core site of its cluster, or -1. ``edges``: (a, b, radius), a spanning forest of the core sites: the edges of at most a
+    radius join exactly the core sites that belong together at that radius.
+    """
+
+    radii: tuple[float, ...]
+    sites: DataFrame
+    edges: DataFrame
+
+
+def radius_forest(df: DataFrame, key: str, coords: Sequence[str], radii: Sequence[float], min_samples: int = 3) -> RadiusForest:
+    """DBSCAN for several radii: the forest grows from the smallest radius to the largest.
+
+    Being core and belonging together carry over to every larger radius. So a radius only counts the neighbours of sites
+    that were not core before, and only compares cells whose sites do not all belong together yet.
+    """
+    levels = tuple(sorted({float(r) for r in radii}))
+    if not levels:
+        raise ValueError("DBSCAN needs at least one radius")
+    xs = _checked_grid(coords, levels[0]).cols("x")
+    rows = df.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(coords, xs)])
+    places = cut_lineage(rows.groupBy(*xs).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
+    sites = dense_key(places, ["first"], "site").drop("first").select(
+        *xs, "site", "n", F.lit(None).cast("int").alias("core"), F.lit(None).cast("bigint").alias("root"), F.array().cast("array<bigint>").alias("labels")
+    )
+    sites = cut_lineage(sites)
+    edges: list[DataFrame] = []
+    for level, eps in enumerate(levels):
+        grid = _Grid(eps, len(coords))
+        cs = grid.cols("c")
+        celled = sites.withColumns({c: F.floor(F.col(x) / grid.side) for c, x in zip(cs, xs)})
+        cells = written(celled.groupBy(*cs).agg(F.sum("n").alias("members")).withColumn("cell", F.monotonically_increasing_id()))
+        placed = written(celled.join(cells, cs).drop(*cs))
+        pairs = written(_neighbour_cells(cells, grid))
+        flagged = written(_flagged(placed, pairs, grid, min_samples, level))
+        core = flagged.where("core is not null")
+        spans = written(core.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")))
+        inner = core.join(spans, "cell").where("root <> lo").select(F.col("root").alias("a"), F.col("lo").alias("b"))
+        left, right = _prefixed(spans, "a_"), _prefixed(spans, "b_")
+        apart = F.greatest("a_hi", "b_hi") != F.least("a_lo", "b_lo")
+        open_pairs = pairs.where("a < b").join(left, F.col("a") == F.col("a_cell")).join(right, F.col("b") == F.col("b_cell")).where(apart)
+        linked = _linked_cells(core, written(open_pairs.select("a", "b")), grid)
+        outer = linked.join(left, F.col("a") == F.col("a_cell")).join(right, F.col("b") == F.col("b_cell"))
+        links = inner.unionByName(outer.select(F.col("a_lo").alias("a"), F.col("b_lo").alias("b")))
+        merged = connected_components(core.select(F.col("root").alias("node")).distinct(), links)
+        edges.append(merged.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"), F.lit(eps).alias("radius")))
+        moved = written(flagged.join(merged, F.col("root") == F.col("node"), "left").withColumn("root", F.col("label")).drop("node", "label"))
+        border = _near_sites(moved.where("core is null"), pairs, moved.where("core is not null"), grid)
+        border = border.groupBy(F.col("p_site").alias("site")).agg(F.min("q_root").alias("beside"))
+        label = F.coalesce("root", "beside", F.lit(-1))
+        named = moved.join(border, "site", "left").withColumn("labels", F.array_append("labels", label))
+        sites = written(named.select(*xs, "site", "n", "core", "root", "labels"))
+    return RadiusForest(levels, sites.drop("root"), reduce(DataFrame.unionByName, edges))
+
+
+def _flagged(placed: DataFrame, pairs: DataFrame, grid: _Grid, min_samples: int, level: int) -> DataFrame:
+    """Sites that become core at this level get it as their ``core``, and are a ``root`` of their own."""
+    still = placed.where("core is null")
+    crowded = still.where(F.col("members") >= min_samples).select("site")
+    sparse = still.where(F.col("members") < min_samples)
+    counted = _near_sites(sparse, pairs, placed, grid).groupBy(F.col("p_site").alias("site")).agg(F.sum("q_n").alias("near"))
+    fresh = crowded.unionByName(counted.where(F.col("near") >= min_samples).select("site")).withColumn("_new", F.lit(level))
+    flagged = placed.join(fresh, "site", "left").withColumn("core", F.coalesce("core", "_new"))
+    return flagged.withColumn("root", F.coalesce("root", F.when(F.col("core").isNotNull(), F.col("site")))).drop("_new")
+
+
 def dbscan_sweep(
-    df: DataFrame, key: str, coords: Sequence[str], eps_values: Sequence[float], min_samples: int = 3, vectors: DataFrame | None = None
-) -> DataFrame:
-    """(eps, clusters, noise, silhouette) per radius. ``vectors`` (key, features) enables the silhouette."""
-    rows = []
-    for eps in eps_values:
-        labelled = cut_lineage(dbscan(df, key, coords, eps, min_samples))
-        counts = labelled.agg(
-            (F.coalesce(F.max("cluster"), F.lit(-1)) + 1).alias("clusters"), F.count_if(F.col("cluster") == -1).alias("noise")
-        ).first()
-        score = None
-        if vectors is not None and counts["clusters"] >= 2:
-            score = silhouette(vectors.join(labelled.select(key, "cluster"), key), "features", "cluster")
-        rows.append((float(eps), counts["clusters"], counts["noise"], score))
-    return df.sparkSession.createDataFrame(rows, "eps double, clusters int, noise bigint, silhouette double")
+    df: DataFrame, key: str, coords: Sequence[str], eps_values: Sequence[float], min_samples: int = 3, vectors: DataFrame | None = None,
+    metric: str = "euclidean",
+) -> DataFrame:
+    """(eps, clusters, noise, silhouette) per radius, read from one forest. ``vectors`` (key, features) enables the silhouette.
+
+    All silhouettes come from one pass; the Euclidean one compares all pairs of rows.
+    """
+    forest = radius_forest(df, key, coords, eps_values, min_samples)
+    label = [F.get("labels", F.lit(i)) for i in range(len(forest.radii))]
+    clusters = [F.count_distinct(F.when(x >= 0, x)).alias(f"c{i}") for i, x in enumerate(label)]
+    noise = [F.coalesce(F.sum(F.when(x < 0, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(label)]
+    found = forest.sites.agg(*clusters, *noise).first()
+    scores: dict[int, float | None] = {}
+    several = [i for i in range(len(label)) if found[f"c{i}"] >= 2]
+    if vectors is not None and several:
+        xs = [f"x{i}" for i in range(len(coords))]
+        rows = df.select(key, *[F.col(c).cast("double").alias(x) for c, x in zip(coords, xs)])
+        named = rows.join(forest.sites, xs).select(key, *[label[i].alias(f"l{i}") for i in several])
+        labelled = cut_lineage(vectors.select(key, "features").join(named, key))
+        scores = dict(zip(several, silhouettes(labelled, [f"l{i}" for i in several], "features", metric), strict=True))
+    values = [(r, int(found[f"c{i}"]), int(found[f"n{i}"]), scores.get(i)) for i, r in enumerate(forest.radii)]
+    return df.sparkSession.createDataFrame(values, "eps double, clusters int, noise bigint, silhouette double")

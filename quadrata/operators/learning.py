@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from quadrata.operators import kmeans
 from quadrata.operators.aggregates import group_means
 from quadrata.operators.ordered import ordered_labels
 from quadrata.operators.schema import dtype_label, require_columns
+from quadrata.operators.silhouette import silhouettes
 from quadrata.operators.statistics import impute_median, zscore
+from quadrata.session import cut_lineage
 
 
 def model_columns(panel: DataFrame, catalog: DataFrame, target: str) -> list[str]:
@@ -109,36 +109,31 @@ def forest_importance(
     return df.sparkSession.createDataFrame(rows, "feature_set string, feature string, importance double")
 
 
-def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42, features: str = "features"):
-    """The fitted model with the lowest inertia over several starts."""
-    fits = (KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=300, tol=1e-6).fit(vectors) for i in range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42, features: str = "features") -> kmeans.Fit:
+    """The fit with the lowest inertia over several starts, all moved by the same scans; ``transform`` adds the cluster."""
+    return kmeans.best_fits(kmeans.kmeans_fits(vectors, [k], restarts, seed, features))[k]
 
 
-SILHOUETTE = "squaredEuclidean"
-
-
-def silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction") -> float | None:
-    """Mean silhouette in its squared Euclidean form, which is linear in the rows. Noise (-1) counts as a cluster of its own."""
-    shape = df.agg(F.count("*").alias("rows"), F.count_distinct(cluster).alias("groups")).first()
-    if shape["groups"] < 2 or shape["groups"] >= shape["rows"]:
-        return None
-    shifted = df.withColumn("_cluster", (F.col(cluster) + 1).cast("int"))
-    return ClusteringEvaluator(featuresCol=features, predictionCol="_cluster", metricName="silhouette").evaluate(shifted)
+def silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction", metric: str = "squaredEuclidean") -> float | None:
+    """Mean silhouette, by default in its squared Euclidean form, which is linear in the rows. Noise (-1) counts as a cluster of its own."""
+    return silhouettes(df, [cluster], features, metric)[0]
 
 
 def kmeans_sweep(
     vectors: DataFrame, ks: Sequence[int] = range(2, 7), restarts: int = 20, seed: int = 42,
-    features: str = "features",
+    features: str = "features", metric: str = "euclidean",
 ) -> DataFrame:
-    """(k, inertia, metric, silhouette) per cluster count; the vectors are kept for all the fits."""
-    kept = vectors.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for k in ks:
-        model = best_kmeans(kept, k, restarts, seed, features)
-        value = silhouette(model.transform(kept), features)
-        rows.append((k, float(model.summary.trainingCost), SILHOUETTE, value))
-    kept.unpersist()
+    """(k, inertia, metric, silhouette) per cluster count: all fits in one series of scans, all silhouettes in one pass.
+
+    The Euclidean silhouette compares all pairs of rows; for tables too large for that there is ``squaredEuclidean``.
+    """
+    best = kmeans.best_fits(kmeans.kmeans_fits(vectors, ks, restarts, seed, features))
+    labelled = vectors.where(F.col(features).isNotNull()).select(features)
+    for k, fit in best.items():
+        labelled = fit.transform(labelled, features, f"k{k}")
+    labelled = cut_lineage(labelled)
+    values = silhouettes(labelled, [f"k{k}" for k in best], features, metric) if best else []
+    rows = [(k, float(fit.inertia), metric, value) for (k, fit), value in zip(best.items(), values, strict=True)]
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, metric string, silhouette double")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quadrata.operators.selection import order_statistics
 from quadrata.session import cut_lineage
 
 
@@ -73,37 +75,16 @@ def global_rank(df: DataFrame, by: str, name: str, descending: bool = True) -> D
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5) -> DataFrame:
-    """Exact interpolated quantile of every numeric column: (column_name, n, value).
+    """Exact interpolated quantile of every numeric column: (column_name, n, value), by radix selection.
 
-    All columns are handled together: values are counted, ordered by (column, value) and located by their
-    running count. No task ever holds the values of a whole column.
+    A column without values is left out. No value is sorted or shuffled; the driver gets two numbers per column.
     """
-    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "value"
-    )
-    counted = (
-        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    placed = running_total(counted, [F.col("column_name"), F.col("value")], F.col("_n"), "_before")
-    totals = placed.groupBy("column_name").agg(F.min("_before").alias("_start"), F.sum("_n").alias("n"))
-    position = (F.col("n") - 1) * F.lit(float(q))
-    rank = F.col("_before") - F.col("_start")
-
-    def at(index: Column) -> Column:
-        return F.max(F.when((rank <= index) & (index < rank + F.col("_n")), F.col("value")))
-
-    located = (
-        placed.join(F.broadcast(totals), "column_name")  # one row per column
-        .groupBy("column_name", "n")
-        .agg(at(F.floor(position)).alias("_low"), at(F.ceil(position)).alias("_high"))
-    )
-    return located.select(
-        "column_name",
-        "n",
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * (position - F.floor(position))).alias("value"),
-    )
+    found = order_statistics(df, columns, q)
+    rows = []
+    for name, (n, low, high) in found.items():
+        at = (n - 1) * float(q)
+        rows.append((name, n, low if low == high else low + (high - low) * (at - math.floor(at))))
+    return df.sparkSession.createDataFrame(rows, "column_name string, n bigint, value double")
 
 
 def top_k(df: DataFrame, by: Sequence[Column], k: int) -> DataFrame:
@@ -140,4 +121,5 @@ def ordered_labels(means: DataFrame, group: str, measure: str, labels: Sequence[
     names = F.array(*[F.lit(label) for label in labels])
     named = F.when(F.col("risk_id") < len(labels), F.get(names, F.col("risk_id")))
     missing = F.raise_error(F.lit(f"more groups than the {len(labels)} labels"))
-    return means.withColumn("risk_id", order).withColumn("risk_label", F.when(F.col("risk_id") < len(labels), named).otherwise(missing))
+    few = means.limit(len(labels) + 1)  # enough to tell that there are too many, before any task gathers them
+    return few.withColumn("risk_id", order).withColumn("risk_label", F.when(F.col("risk_id") < len(labels), named).otherwise(missing))

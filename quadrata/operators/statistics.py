@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quadrata.operators import gramian
 from quadrata.operators.ordered import exact_quantiles
 
 
@@ -42,13 +43,17 @@ def _rounded(value: Column, digits: int | None) -> Column:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """Long form of the symmetric matrix; the mirrored half is derived from the computed one."""
-    upper = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    """Long form of the symmetric matrix; the mirrored half is derived from the computed one.
+
+    Each pair uses the rows where both values exist; a constant column gives null. Any number of columns takes one pass.
+    """
+    moments = gramian.pair_moments(df, columns)
+    upper = gramian.named(moments, columns, _rounded(gramian.correlation(), digits), "corr")
     a, b = F.col("feature_a"), F.col("feature_b")
     sides = F.array_distinct(
         F.array(F.struct(a.alias("row"), b.alias("column")), F.struct(b.alias("row"), a.alias("column")))
     )
-    mirrored = correlations(df, upper, digits).select("corr", F.inline(sides))
+    mirrored = upper.select("corr", F.inline(sides))
     return mirrored.select(F.col("row").alias("feature_a"), F.col("column").alias("feature_b"), "corr")
 
 
@@ -79,14 +84,8 @@ def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFra
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """(feature_a, feature_b, covariance) of the upper triangle, population form."""
-    structs = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.covar_pop(a, b).alias("covariance"))
-        for i, a in enumerate(columns)
-        for b in columns[i:]
-    ]
-    rows = df.agg(F.array(*structs).alias("pairs")).select(F.inline("pairs"))
-    return rows.withColumn("covariance", _rounded(F.col("covariance"), digits))
+    """(feature_a, feature_b, covariance) of the upper triangle, population form, over the rows that have both values."""
+    return gramian.named(gramian.pair_moments(df, columns), columns, _rounded(gramian.covariance(), digits), "covariance")
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -61,5 +61,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` as a table in the shared folder, read again.
+
+    Where a loop feeds its result to its next round, this is better than a checkpoint: the plan of a checkpoint remembers
+    all that the optimiser has inferred of its columns, which grows with every round.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.numeric import row_mean
-from quadrata.operators import density, learning, ordered, statistics
+from quadrata.operators import density, kmeans, learning, ordered, statistics
 from quadrata.session import cut_lineage, load
 from quadrata.workload.base import CLASS_SQL, money, on_lines, part_classes, query, rounded
 from quadrata.workload.panels import PANEL_CTES, panel
@@ -201,6 +201,21 @@ def kmeans_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return learning.kmeans_sweep(vectors(spark, folder), range(2, 7))
 
 
+@query(
+    "kmeans_optimality",
+    f"""WITH x AS (SELECT generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+    s AS (SELECT sum(ss) AS total FROM (SELECT count(*) * var_pop(v) AS ss FROM x GROUP BY i)), n AS (SELECT count(*) AS n FROM embeddings)
+    SELECT CAST(k AS INTEGER) AS k, n AS n_rows, n AS n_nearest, true AS centres_are_means, {rounded("total", 4)} AS total_ss FROM range(2, 7) t(k), n, s""",
+)
+def kmeans_optimality(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the best fit per k: rows at their nearest cluster mean, centres against means, sums of squares within and between."""
+    rows = vectors(spark, folder)
+    best = kmeans.best_fits(kmeans.kmeans_fits(rows, range(2, 7)))
+    told = kmeans.optimality(rows, list(best.values()))
+    means = (F.col("centre_gap") < 1e-5).alias("centres_are_means")
+    return told.select("k", "n_rows", "n_nearest", means, (F.round("total_ss", 4) + 0.0).alias("total_ss"))
+
+
 CLUSTER_FEATURES = ["target", "price_wmean", "weight_sum", "tax_wmean"]
 
 
@@ -263,9 +278,11 @@ def risk_profile(spark: SparkSession, folder: str) -> DataFrame:
 # --- Density clustering of customers by balance and spending --------------------------------------------------------
 
 EPS = 40.0
-RADII = (0.6, 0.8, 1.0, 1.2, 1.4, 1.6, 1.8, 2.0, 2.2)
-_POINTS = """pts AS (SELECT c_custkey AS id, c_acctbal AS x, coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0) / 1000 AS y
- FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_acctbal),
+RADII = (20.0, 25.0, 30.0, 35.0, 40.0, 45.0, 50.0, 55.0, 60.0)
+PANEL_RADII = (0.6, 0.8, 1.0, 1.2, 1.4, 1.6, 1.8, 2.0, 2.2)
+_PTS = """pts AS (SELECT c_custkey AS id, c_acctbal AS x, coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0) / 1000 AS y
+ FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_acctbal)"""
+_POINTS = f"""{_PTS},
  near AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 40.0),
  deg AS (SELECT a AS id, count(*) >= 3 AS core FROM near GROUP BY a)"""
 
@@ -299,11 +316,43 @@ def dbscan(spark: SparkSession, folder: str) -> DataFrame:
     return density.dbscan(points(spark, folder), "id", ["x", "y"], EPS)
 
 
-@query("dbscan_sweep")
+_SWEEP = f"""WITH RECURSIVE r(eps) AS (VALUES {", ".join(f"(CAST({x} AS DOUBLE))" for x in RADII)}), {_PTS},
+    d AS (SELECT a.id AS a, b.id AS b, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM pts a JOIN pts b ON true),
+    near AS (SELECT eps, a, b FROM d JOIN r ON d.d <= eps),
+    deg AS (SELECT eps, a AS id, count(*) >= 3 AS core FROM near GROUP BY eps, a),
+    e AS (SELECT near.eps, a, b FROM near JOIN deg p ON p.eps = near.eps AND p.id = a JOIN deg q ON q.eps = near.eps AND q.id = b WHERE p.core AND q.core),
+    reach AS (SELECT eps, id AS a, id AS b FROM deg WHERE core UNION SELECT reach.eps, reach.a, e.b FROM reach JOIN e ON reach.eps = e.eps AND reach.b = e.a),
+    c AS (SELECT eps, a AS id, min(b) AS root FROM reach GROUP BY eps, a),
+    border AS (SELECT near.eps, near.a AS id, min(root) AS root FROM near JOIN deg ON deg.eps = near.eps AND deg.id = near.a
+     JOIN c ON c.eps = near.eps AND c.id = near.b WHERE NOT core GROUP BY near.eps, near.a),
+    l AS (SELECT deg.eps, deg.id, coalesce(c.root, border.root, -1) AS label FROM deg LEFT JOIN c ON c.eps = deg.eps AND c.id = deg.id
+     LEFT JOIN border ON border.eps = deg.eps AND border.id = deg.id),
+    size AS (SELECT eps, label, count(*) AS n FROM l GROUP BY eps, label),
+    away AS (SELECT l.eps, d.a, l.label, sum(d.d) AS s FROM d JOIN l ON l.id = d.b GROUP BY l.eps, d.a, l.label),
+    sides AS (
+     SELECT away.eps, away.a, max(CASE WHEN away.label = own.label THEN CASE WHEN n = 1 THEN 0 ELSE s / (n - 1) END END) AS within,
+      min(CASE WHEN away.label <> own.label THEN s / n END) AS other, max(CASE WHEN away.label = own.label THEN n END) AS mine
+     FROM away JOIN size ON size.eps = away.eps AND size.label = away.label JOIN l own ON own.eps = away.eps AND own.id = away.a GROUP BY away.eps, away.a),
+    score AS (SELECT eps, avg(CASE WHEN mine = 1 OR greatest(within, other) = 0 THEN 0 ELSE (other - within) / greatest(within, other) END) AS s FROM sides GROUP BY eps)
+    SELECT r.eps, CAST(count(DISTINCT CASE WHEN label >= 0 THEN label END) AS INTEGER) AS clusters, count(CASE WHEN label < 0 THEN 1 END) AS noise,
+     CASE WHEN count(DISTINCT CASE WHEN label >= 0 THEN label END) >= 2 THEN {rounded("any_value(s)")} END AS silhouette
+    FROM r JOIN l ON l.eps = r.eps JOIN score ON score.eps = r.eps GROUP BY r.eps"""
+
+
+@query("dbscan_sweep", _SWEEP)
 def dbscan_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    """Clusters, noise and silhouette of the panel rows per radius."""
+    """Clusters, noise and Euclidean silhouette of the customers per radius."""
+    rows = cut_lineage(points(spark, folder))
+    placed = rows.select("id", array_to_vector(F.array("x", "y")).alias("features"))
+    swept = density.dbscan_sweep(rows, "id", ["x", "y"], RADII, 3, placed)
+    return swept.withColumn("silhouette", F.round("silhouette", 6) + 0.0)
+
+
+@query("dbscan_panel")
+def dbscan_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for the scaled rows of the panel."""
     rows = cut_lineage(panel(spark, folder).select((F.col("time_id") * 100 + F.col("entity_id")).alias("id"), *CLUSTER_FEATURES))
     scaled = cut_lineage(learning.scaled_features(rows, CLUSTER_FEATURES))
     arrays = vector_to_array("features")
     parts = scaled.select("id", *[F.get(arrays, F.lit(i)).alias(f"z{i}") for i in range(len(CLUSTER_FEATURES))])
-    return density.dbscan_sweep(parts, "id", [f"z{i}" for i in range(len(CLUSTER_FEATURES))], RADII, 3, scaled)
+    return density.dbscan_sweep(parts, "id", [f"z{i}" for i in range(len(CLUSTER_FEATURES))], PANEL_RADII, 3, scaled)

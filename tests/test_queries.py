@@ -11,7 +11,7 @@ from . import oracle
 
 FOLDER = os.environ.get("QUADRATA_TESTDATA", "/root/testdata/sf0.001")
 # Long model fits; their operators have tests of their own.
-SLOW = {"kmeans_sweep", "cluster_profiles", "dbscan_sweep", "rf_importance"}
+SLOW = {"rf_importance"}
 
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")
 
@@ -29,7 +29,7 @@ def test_query(spark, con, name):
 
 def test_entry_points():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(REGISTRY) - set(entry_points.oracle_sql()) == SLOW | {"pca"}
+    assert set(REGISTRY) - set(entry_points.oracle_sql()) == SLOW | {"pca", "kmeans_sweep", "cluster_profiles", "dbscan_panel"}
 
 
 @needs_data

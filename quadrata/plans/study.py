@@ -249,12 +249,15 @@ def checks(study: Study) -> DataFrame:
             )
             for name in ("fact_infraestructura_alcaldia", "fact_infraestructura_colonia")
         ],
-        *[q.unique_check(tables[n], keys, f"{n}.natural_key") for n, keys in c.NATURAL_KEYS.items()],
-        *[q.unique_check(tables[n], keys, f"{n}.grain") for n, keys in c.GRAINS.items()],
-        *[
-            q.foreign_key_check(tables[r.table], tables[r.dim], r.column, r.dim_column, f"{r.table}.{r.column}")
-            for r in c.REFERENCES
-        ],
+        q.key_checks(
+            tables,
+            [
+                *[q.UniqueKey(f"{n}.primary_key", n, (contract.names[0],)) for n, contract in c.DIMENSIONS.items()],
+                *[q.UniqueKey(f"{n}.natural_key", n, tuple(keys)) for n, keys in c.NATURAL_KEYS.items()],
+                *[q.UniqueKey(f"{n}.grain", n, tuple(keys)) for n, keys in c.GRAINS.items()],
+                *[q.ForeignKey(f"{r.table}.{r.column}", r.table, r.column, r.dim, r.dim_column) for r in c.REFERENCES],
+            ],
+        ),
         q.balance_check(
             tables["fact_panel_analitico_alcaldia_anio"], "anio", "alcaldia_id", len(t.BOROUGHS), "panel.balanced"
         ),

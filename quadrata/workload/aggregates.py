@@ -12,7 +12,7 @@ from quadrata.operators import aggregates as ag
 from quadrata.operators import olap, ordered, sets
 from quadrata.plans.sources import clean_events, derive_events, reject_counters
 from quadrata.session import load
-from quadrata.streaming.counts import file_stream, run_available
+from quadrata.streaming.counts import file_stream, run_incremental
 from quadrata.sources.layers import is_folder
 from quadrata.workload.base import (
     CLASSES,
@@ -57,31 +57,36 @@ def annual_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stream_counts", on_lines(ANNUAL_SQL))
 def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The same counts from a stream of line-item files joined with the static tables."""
+    """The same counts from a stream of line-item files joined with the static tables, folded batch by batch."""
+    keys = ["nation", "year"]
+
+    def partial(lines: DataFrame) -> DataFrame:
+        rows = placed_lines(spark, folder, lines).withColumn("flag", flagged_line())
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("flag").cast("bigint").alias("flagged"))
+
+    def fold(partials: DataFrame) -> DataFrame:
+        return ag.counts_with_complement(partials, keys, "total", "flagged", "not_flagged", "flagged_share", n="n", flag="flagged")
+
+    return run_incremental(line_stream(spark, folder), partial, fold)
+
+
+def line_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The line items as a stream of files."""
     path = f"{folder.rstrip('/')}/lineitem.parquet"
     schema = load(spark, folder, "lineitem").schema
-    stream = (
-        file_stream(spark, path, "*.parquet", schema)
-        if is_folder(spark, path)
-        else file_stream(spark, folder, "lineitem.parquet", schema)
-    )
+    if is_folder(spark, path):
+        return file_stream(spark, path, "*.parquet", schema)
+    return file_stream(spark, folder, "lineitem.parquet", schema)
 
-    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+
+def placed_lines(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
+    """Line items with nation, year and month of their order."""
+    date = F.col("o_orderdate")
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year(date).alias("year"), F.month(date).alias("month"))
     customer = load(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nation = load(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-
-    def aggregate(lines: DataFrame) -> DataFrame:
-        rows = (
-            lines.select("l_orderkey", flagged_line().alias("flag"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        )
-        return ag.counts_with_complement(
-            rows, ["nation", "year"], "total", "flagged", "not_flagged", "flagged_share"
-        )
-
-    return run_available(stream, aggregate)
+    ordered = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return ordered.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 WEIGHTED_VALUES = {"price": "l_extendedprice", "discount": "l_discount", "tax": "l_tax"}

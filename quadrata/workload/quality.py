@@ -195,9 +195,8 @@ UNIQUE = (
 
 @query("dq_unique", both(*[_unique_sql(*u) for u in UNIQUE]))
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
-    return q.stack(
-        [q.unique_check(load(spark, folder, t), keys, f"{t}.{'_'.join(keys)}") for t, *keys in UNIQUE]
-    )
+    keys = [q.UniqueKey(f"{t}.{'_'.join(columns)}", t, tuple(columns)) for t, *columns in UNIQUE]
+    return q.key_checks({t: load(spark, folder, t) for t, *_ in UNIQUE}, keys)
 
 
 FOREIGN = (
@@ -223,12 +222,9 @@ FOREIGN = (
     ),
 )
 def dq_fk(spark: SparkSession, folder: str) -> DataFrame:
-    return q.stack(
-        [
-            q.foreign_key_check(load(spark, folder, f), load(spark, folder, d), a, b, f"{f}.{a}>{d}")
-            for f, a, d, b in FOREIGN
-        ]
-    )
+    keys = [q.ForeignKey(f"{f}.{a}>{d}", f, a, d, b) for f, a, d, b in FOREIGN]
+    names = {t for f, _, d, _ in FOREIGN for t in (f, d)}
+    return q.key_checks({t: load(spark, folder, t) for t in sorted(names)}, keys)
 
 
 @query(

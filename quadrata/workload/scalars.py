@@ -11,10 +11,13 @@ from quadrata.functions.numeric import coerce_numeric, keep_where, row_mean, row
 from quadrata.operators.aggregates import located_from_parts, located_parts
 from quadrata.plans.sources import add_entity_fields
 from quadrata.plans.territory import MONTH_NUMBERS
-from quadrata.session import load
+from quadrata.session import load, scratch_path
+from quadrata.sources import commits
+from quadrata.streaming.counts import run_incremental
+from quadrata.workload.aggregates import line_stream, placed_lines
 from quadrata.workload.base import (
-    CLASS_SQL,
     CLASSES,
+    CLASS_SQL,
     LABELS,
     MONTHS,
     NATIONS,
@@ -235,3 +238,39 @@ def geo_centroid(spark: SparkSession, folder: str) -> DataFrame:
 def month_subtype(spark: SparkSession, folder: str) -> DataFrame:
     counted = located_sales(spark, folder, ["nation", "year", "month", "class"])
     return counted.where(F.col("class") != "OTHER")
+
+
+@query("stream_month_subtype", on_lines(f"SELECT nation, year, month, class, {LOCATED_SQL} FROM ev WHERE class <> 'OTHER' GROUP BY ALL"))
+def stream_month_subtype(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a stream of line-item files, folded batch by batch."""
+    keys = ["nation", "year", "month", "class"]
+    lat = F.when(F.col("l_orderkey") % 7 != 0, cents("l_discount"))
+    classes = part_classes(spark, folder).where(F.col("class") != "OTHER")
+
+    def partial(lines: DataFrame) -> DataFrame:
+        rows = placed_lines(spark, folder, lines.join(classes, F.col("l_partkey") == F.col("p_partkey")))
+        terms = located_parts(lat, cents("l_tax"))
+        return rows.groupBy(*keys).agg(*[F.sum(term).alias(name) for name, term in terms.items()])
+
+    def fold(partials: DataFrame) -> DataFrame:
+        sums = [c for c in partials.columns if c not in keys]
+        folded = hundredths(partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]), "lat__sum", "lon__sum")
+        return folded.select(*keys, *located_from_parts("n", "located", "mean_lat", "mean_lon"))
+
+    return run_incremental(line_stream(spark, folder), partial, fold)
+
+
+@query(
+    "append_rerun",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM orders GROUP BY ALL""",
+)
+def append_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders appended in two runs, one of which is run again, and counted from the committed table."""
+    table = scratch_path(spark, "orders-by-run")
+    rows = load(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), cents("o_totalprice").alias("total"))
+    odd = F.col("year") % 2 == 1
+    for run, part in (("odd", odd), ("even", ~odd), ("odd", odd)):
+        commits.commit(rows.where(part), table, run, "append")
+    stored = commits.read_committed(spark, table, rows.schema)
+    return hundredths(stored.groupBy("year").agg(F.count("*").alias("n"), F.sum("total").alias("total")), "total")

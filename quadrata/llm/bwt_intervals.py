@@ -11,10 +11,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quadrata.llm.blocks import with_tag
-from quadrata.llm.repeats import Unit, apply_spans, covered, repeated_spans
+from quadrata.llm.repeats import Unit, apply_spans, repeated_spans, span_ranges, within
 
 LENGTH, GRAM = 50, 16
 
@@ -54,9 +55,12 @@ def suffix_array(text: np.ndarray, depth: int, table: int = 14) -> tuple[np.ndar
         step *= 2
 
 
-def expand(order: np.ndarray, text: np.ndarray, grouped: np.ndarray, start: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+def expand(order: np.ndarray, text: np.ndarray, grouped: np.ndarray, start: int, length: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that share their first ``length`` bytes with another one, and the number of each one's interval.
 
+    ``wanted`` marks where the search sets out: the suffixes that are ``length`` - ``start`` bytes behind those asked for. No
+    other one can become one of these, as each step goes one byte back.
+
     ``order`` is the suffix array; ``grouped`` holds the intervals of all strings of ``start`` bytes, the table from which the
     search sets out. The last-to-first mapping sends the place of a suffix to that of the suffix one byte longer. Backward
     extension of all intervals of a level at once: a place takes the interval of the suffix that starts one byte later, and
@@ -66,9 +70,10 @@ def expand(order: np.ndarray, text: np.ndarray, grouped: np.ndarray, start: int,
     n = len(text)
     place = np.empty(n, dtype=np.int64)
     place[order] = np.arange(n)
-    size = np.bincount(grouped, minlength=n)
-    live = np.flatnonzero(size[grouped] > 1)
+    live = np.flatnonzero(wanted[order])
     interval = grouped[live]
+    shared = np.bincount(interval, minlength=n)[interval] > 1
+    live, interval = live[shared], interval[shared]
     back = np.full(n, -1, dtype=np.int64)
     for _ in range(start, length):
         suffix = order[live]
@@ -90,13 +95,15 @@ def expand(order: np.ndarray, text: np.ndarray, grouped: np.ndarray, start: int,
 def first_documents(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For all windows of all contexts, one after another, the smallest document in their interval."""
     owner = np.repeat(np.arange(len(starts)), ends - starts)
-    window = np.arange(len(text)) - starts[owner] < windows[owner]
+    offset = np.arange(len(text)) - starts[owner]
+    window = offset < windows[owner]
     answer = docs[owner]
     table = 14 if length >= 14 else 7
     if length < table:
         raise ValueError("the least length is seven bytes")
     order, grouped = suffix_array(text, length, table)
-    suffix, interval = expand(order, text, grouped, table, length)
+    wanted = (offset >= length - table) & (offset < length - table + windows[owner])
+    suffix, interval = expand(order, text, grouped, table, length, wanted)
     inside = window[suffix]
     suffix, interval = suffix[inside], interval[inside]
     if len(suffix):
@@ -107,19 +114,19 @@ def first_documents(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, wind
 
 
 def _finish(batches):
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
     for batch in batches:
         rows = []
-        for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
-            raw = (text or "").encode()
-            if not spans:
+        texts = pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist()
+        for doc_id, raw, (starts, ends) in zip(batch.column("doc_id").to_pylist(), texts, span_ranges(batch.column("spans"))):
+            if not len(starts):
                 rows.append((doc_id, len(raw), 0, 0, raw, hashlib.sha256(raw).hexdigest()))
                 continue
-            gone = covered(spans, len(raw))
+            gone = within(starts, ends, len(raw))
             kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
             count = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])
             rows.append((doc_id, len(raw), int(gone.sum()), count, kept, hashlib.sha256(kept).hexdigest()))
         if rows:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_sha256"])
 
 

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -320,10 +321,21 @@ def apply_spans(docs: DataFrame, spans: DataFrame, finish, schema: str) -> DataF
     return own.mapInArrow(finish, schema).unionByName(rest.select("doc_id", "text", empty).mapInArrow(finish, schema))
 
 
-def covered(spans: list[dict] | None, n: int) -> np.ndarray:
+def span_ranges(lists: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of the spans of every row; none for null."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    flat = lists.flatten()
+    starts, ends = (flat.field(name).to_numpy() for name in ("start", "end"))
+    to = np.cumsum(size)
+    return [(starts[a:b], ends[a:b]) for a, b in zip((to - size).tolist(), to.tolist())]
+
+
+def within(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of n symbols lie in a span."""
-    edge = np.zeros(n + 1, dtype=np.int64)
-    if spans:
-        np.add.at(edge, [s["start"] for s in spans], 1)
-        np.add.at(edge, [s["end"] for s in spans], -1)
+    edge = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(edge[:n]) > 0
+
+
+def covered(spans: list[dict] | None, n: int) -> np.ndarray:
+    """The same for spans as a list."""
+    return within(np.array([s["start"] for s in spans or []], dtype=np.int64), np.array([s["end"] for s in spans or []], dtype=np.int64), n)

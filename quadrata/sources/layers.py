@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quadrata.sources.csv_splits import read_split_csv
+
 # The null marker of exchanged files, and the words a tolerant reader also takes for null.
 CSV_NULL = r"\N"
 NA_WORDS = (
@@ -21,9 +23,14 @@ _QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 def read_csv(spark: SparkSession, path: str, encoding: str | None = None, multi_line: bool = True) -> DataFrame:
     """Raw CSV, every column as text.
 
-    Where values may span lines each file is read by one task: land it once as Parquet, or turn ``multi_line``
-    off for files known to hold one record per line, which are read in splits. Without an encoding, files whose bytes are not valid UTF-8 throughout are read as Latin-1.
+    Files are read in splits, also where quoted values span lines; turn ``multi_line`` off for files known to hold one record
+    per line, which saves a scan. A file with a quote where none belongs is read by one task. Without an encoding, files whose
+    bytes are not valid UTF-8 throughout are read as Latin-1.
     """
+    if multi_line and (encoding or "UTF-8").upper() in ("UTF-8", "ISO-8859-1"):
+        split = read_split_csv(spark, path, encoding)
+        if split is not None:
+            return split
     if encoding is None:
         encoding = "UTF-8" if invalid_utf8_lines(spark, path) == 0 else "ISO-8859-1"
     df = spark.read.options(**_QUOTING, multiLine=str(multi_line).lower(), inferSchema="false").csv(

@@ -74,3 +74,15 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+
+
+def load_spread(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table for expensive row expressions without a shuffle of their own: every core gets a share of the rows.
+
+    The rows of one Parquet row group cannot be read by several tasks, so a scan of fewer splits than cores would leave
+    cores idle for the whole expression; such rows are dealt out first. Any table of more splits is scanned as it is. The rows
+    are the same either way.
+    """
+    df = load(spark, folder, table)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -11,7 +11,7 @@ from quadrata.functions.numeric import coerce_numeric, keep_where, row_mean, row
 from quadrata.operators.aggregates import located_from_parts, located_parts
 from quadrata.plans.sources import add_entity_fields
 from quadrata.plans.territory import MONTH_NUMBERS
-from quadrata.session import load, scratch_path
+from quadrata.session import load, load_spread, scratch_path
 from quadrata.sources import commits
 from quadrata.streaming.counts import run_incremental
 from quadrata.workload.aggregates import line_stream, placed_lines
@@ -34,7 +34,7 @@ from quadrata.workload.base import (
 
 @query("strip_accents", "SELECT doc_id, strip_accents(text) AS plain FROM documents")
 def strip_accents(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "documents").select("doc_id", tx.strip_accents("text").alias("plain"))
+    return load_spread(spark, folder, "documents").select("doc_id", tx.strip_accents("text").alias("plain"))
 
 
 @query(
@@ -43,7 +43,7 @@ def strip_accents(spark: SparkSession, folder: str) -> DataFrame:
       '') AS text_key FROM documents""",
 )
 def text_key(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = tx.with_text_keys(load(spark, folder, "documents"), {"text_key": "text"})
+    keyed = tx.with_text_keys(load_spread(spark, folder, "documents"), {"text_key": "text"})
     return keyed.select("doc_id", "text_key")
 
 

@@ -1,6 +1,8 @@
 """Every registered query beside its SQL on the smallest driver tables."""
 
+import importlib.util
 import os
+import sys
 
 import pytest
 
@@ -32,6 +34,18 @@ def test_entry_points():
     assert set(REGISTRY) - set(entry_points.oracle_sql()) == SLOW | {"pca", "kmeans_sweep", "cluster_profiles", "dbscan_panel"}
 
 
+@pytest.mark.parametrize("hidden", ["public_tokenizers", "corpus_pipeline", "quadrata.llm", "xxhash"])
+def test_other_queries_stay_without_the_optional_package(monkeypatch, hidden):
+    for name in list(sys.modules):
+        if name.split(".")[0] in ("corpus_pipeline", "public_tokenizers", "xxhash") or name.startswith("quadrata.llm"):
+            monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, hidden, None)  # importing it raises ImportError
+    spec = importlib.util.spec_from_file_location("entry_without", entry_points.__file__)
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    assert set(module.queries()) == set(REGISTRY)
+
+
 @needs_data
 def test_entry(spark):
     df = entry_points.entry(spark)

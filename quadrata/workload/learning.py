@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.numeric import row_mean
-from quadrata.operators import density, kmeans, learning, ordered, statistics
+from quadrata.operators import density, forest, kmeans, learning, ordered, statistics
 from quadrata.session import cut_lineage, load
 from quadrata.workload.base import CLASS_SQL, money, on_lines, part_classes, query, rounded
 from quadrata.workload.panels import PANEL_CTES, panel
@@ -178,8 +178,51 @@ def train_eval(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("n_train", "n_test", *[(F.round(c, d) + 0.0).alias(c) for c, d in digits.items()])
 
 
-@query("rf_importance")
+_CUTS = {"l_quantity": (5, 10, 15, 20, 25, 30, 35, 40, 45), "l_discount": (0.015, 0.035, 0.055, 0.075), "l_tax": (0.015, 0.035, 0.055), "l_linenumber": (1, 2, 4)}
+_TREES, _DEPTH, _LEAST = 5, 3, 20
+
+
+def _forest_sql() -> str:
+    """The forest of ``rf_importance``, level by level."""
+    named = ", ".join(f"{' + '.join(f'CAST({f} > {c} AS INTEGER)' for c in cuts)} AS b{i}" for i, (f, cuts) in enumerate(_CUTS.items()))
+    digit = "substr(md5(tree || '-' || l_orderkey || '/' || l_linenumber), 1, 1)"
+    weight = "CASE " + " ".join(f"WHEN contains('{digits}', {digit}) THEN {n}" for n, digits in forest.TIMES.items()) + " END"
+    ctes = [
+        f"drawn AS (SELECT tree, {named}, CAST(round(l_extendedprice * 100) AS BIGINT) AS y, {weight} AS w FROM lineitem, range({_TREES}) r(tree))",
+        f"n0 AS (SELECT tree, 1 AS node, {', '.join(f'b{i}' for i in range(len(_CUTS)))}, sum(w) AS w, sum(w * y) AS s FROM drawn WHERE w > 0 GROUP BY ALL)",
+    ]
+    for d in range(_DEPTH):
+        long = " UNION ALL ".join(f"SELECT tree, node, {i} AS f, b{i} AS bin, w, s FROM n{d}" for i in range(len(_CUTS)))
+        over = "PARTITION BY tree, node, f"
+        ctes += [
+            f"h{d} AS (SELECT tree, node, f, bin, sum(w) AS w, sum(s) AS s FROM ({long}) GROUP BY ALL)",
+            f"""p{d} AS (SELECT tree, node, f, bin, CAST(sum(w) OVER ({over} ORDER BY bin) AS DOUBLE) AS wl, CAST(sum(s) OVER ({over} ORDER BY bin) AS DOUBLE) AS sl,
+             CAST(sum(w) OVER ({over}) AS DOUBLE) AS wt, CAST(sum(s) OVER ({over}) AS DOUBLE) AS st FROM h{d})""",
+            f"""g{d} AS (SELECT tree, node, f, bin, sl * sl / wl + (st - sl) * (st - sl) / (wt - wl) - st * st / wt AS gain FROM p{d}
+             WHERE wl >= {_LEAST} AND wt - wl >= {_LEAST})""",
+            f"s{d} AS (SELECT * FROM g{d} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, f, bin) = 1)",
+        ]
+        bin_of_f = "CASE f " + " ".join(f"WHEN {i} THEN b{i}" for i in range(len(_CUTS))) + " END"
+        ctes.append(f"n{d + 1} AS (SELECT tree, 2 * node + CAST({bin_of_f} > bin AS INTEGER) AS node, {', '.join(f'b{i}' for i in range(len(_CUTS)))}, w, s FROM n{d} JOIN s{d} USING (tree, node))")
+    every = " UNION ALL ".join(f"SELECT tree, f, gain FROM s{d}" for d in range(_DEPTH))
+    ctes += [
+        f"q AS (SELECT tree, f, sum(gain) AS gain FROM ({every}) GROUP BY ALL)",
+        f"i AS (SELECT f, sum(share) / {_TREES} AS importance FROM (SELECT f, gain / sum(gain) OVER (PARTITION BY tree) AS share FROM q) GROUP BY f)",
+        "names(f, feature) AS (VALUES " + ", ".join(f"({i}, '{f}')" for i, f in enumerate(_CUTS)) + ")",
+    ]
+    return f"WITH {', '.join(ctes)} SELECT feature, coalesce({rounded('importance')}, 0) AS importance FROM names LEFT JOIN i USING (f)"
+
+
+@query("rf_importance", _forest_sql())
 def rf_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Which of four columns of the line items a forest for the price uses, by the decrease of the squared error."""
+    lines = load(spark, folder, "lineitem").select(F.concat_ws("/", "l_orderkey", "l_linenumber").alias("key"), *_CUTS, F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("y"))
+    splits = forest.grow(forest.cells(lines, "key", _CUTS, "y", _TREES), list(_CUTS), _DEPTH, _LEAST)
+    return forest.importances(splits, list(_CUTS), _TREES).withColumn("importance", F.round("importance", 6) + 0.0)
+
+
+@query("rf_panel")
+def rf_panel(spark: SparkSession, folder: str) -> DataFrame:
     """Feature importances over the panel: single features, a composite index among others, and all of them."""
     rows = cut_lineage(
         panel(spark, folder).withColumn("rate_index", row_mean(["discount_wmean", "tax_wmean"]))

@@ -13,7 +13,7 @@ from . import oracle
 
 FOLDER = os.environ.get("QUADRATA_TESTDATA", "/root/testdata/sf0.001")
 # Long model fits; their operators have tests of their own.
-SLOW = {"rf_importance"}
+SLOW = {"rf_panel"}
 
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")
 

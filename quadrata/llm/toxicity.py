@@ -193,8 +193,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     docs = with_tag(docs)
     learned = cut_lineage(labels.where(~held_out & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    # A bound on the hash first, so that the limit merges little more than it keeps, however many labels there are.
+    share = min(1.0, (1.1 * fit_rows + 1000) / max(learned.count(), 1))
+    low = learned.where(F.xxhash64("doc_id") <= -(1 << 63) + min(int(share * (1 << 64)), (1 << 64) - 1))
     # Broadcast of at most fit_rows ids and labels, so that no text is shuffled to be counted.
-    fitted = learned.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    fitted = low.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     model = learn(docs.join(F.broadcast(fitted), "doc_id"))
     scanned = segments(docs, model)
     known = scanned.join(learned, "doc_id")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrata.operators import kmeans
+from quadrata.operators import kmeans, spectrum
 from quadrata.operators.aggregates import group_means
 from quadrata.operators.ordered import ordered_labels
 from quadrata.operators.schema import dtype_label, require_columns
@@ -138,13 +138,11 @@ def kmeans_sweep(
 
 
 def pca(vectors: DataFrame, k: int = 2, features: str = "features") -> tuple[DataFrame, list[float]]:
-    """The rows with columns ``pca_1..k``, and the explained variance ratios."""
-    model = PCA(k=k, inputCol=features, outputCol="_pca").fit(vectors)
-    parts = vector_to_array("_pca")
-    placed = model.transform(vectors).select(
-        *vectors.columns, *[F.get(parts, F.lit(i)).alias(f"pca_{i + 1}") for i in range(k)]
-    )
-    return placed, model.explainedVariance.toArray().tolist()
+    """The rows with columns ``pca_1..k``, and the explained variance ratios. Null vectors have null components."""
+    found = spectrum.principal_components(vectors, k, features)
+    array = kmeans.as_array(features)
+    parts = {f"pca_{i + 1}": F.when(F.col(features).isNotNull(), spectrum.projection(array, v)) for i, v in enumerate(found.components)}
+    return vectors.withColumns(parts), found.ratios
 
 
 # Risk labels from low to high.

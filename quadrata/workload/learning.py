@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.numeric import row_mean
-from quadrata.operators import density, forest, kmeans, learning, ordered, statistics
+from quadrata.operators import density, forest, kmeans, learning, ordered, spectrum, statistics
 from quadrata.session import cut_lineage, load
 from quadrata.workload.base import CLASS_SQL, money, on_lines, part_classes, query, rounded
 from quadrata.workload.panels import PANEL_CTES, panel
@@ -278,6 +278,21 @@ def pca(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(ratios, 1)), "component int, explained_ratio double")
 
 
+@query(
+    "pca_residuals",
+    f"""WITH x AS (SELECT generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+    SELECT CAST(c AS INTEGER) AS component, true AS unit, true AS eigenvector, {rounded("total")} AS total_variance
+    FROM range(1, 4) r(c), (SELECT sum(s) AS total FROM (SELECT var_pop(v) AS s FROM x GROUP BY i))""",
+)
+def pca_residuals(spark: SparkSession, folder: str) -> DataFrame:
+    """Of three components, recomputed from the rows: length, whether they are eigenvectors, and the trace of the covariance."""
+    rows = vectors(spark, folder)
+    found = spectrum.principal_components(rows, 3)
+    checked = spectrum.residual_check(rows, found)
+    unit, small = F.abs(F.col("length") - 1) < 1e-9, F.col("residual") < 1e-7 * F.col("variance")
+    return checked.select("component", unit.alias("unit"), small.alias("eigenvector"), F.round(F.lit(found.total), 6).alias("total_variance"))
+
+
 @query(
     "pca_pair",
     f"""WITH m AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)

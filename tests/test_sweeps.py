@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from quadrata.operators import density, gramian, kmeans, ordered, selection, silhouette
+from quadrata.operators import density, gramian, kmeans, learning, ordered, selection, silhouette, spectrum
 
 
 def vectors(spark, points, **more):
@@ -194,3 +194,28 @@ def test_gramian_of_many_columns_with_gaps(spark):
         assert cov == pytest.approx(np.cov(a, b, bias=True)[0, 1], abs=1e-6)
         assert corr is None if 7 in (i, j) else corr == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9)
     assert gramian.pair_moments(df.where("false"), names[:3]).collect() == []
+
+
+@pytest.mark.parametrize("d", [1, 5, 40])
+def test_principal_components(spark, d):
+    rng = np.random.default_rng(d)
+    points = rng.normal(size=(300, d)) @ rng.normal(size=(d, d)) + 50.0
+    if d == 5:
+        points[:, 4] = points[:, 0]  # a direction without variance
+    df = vectors(spark, points)
+    df = df.unionByName(df.limit(1).withColumn("features", F.when(F.col("id") < 0, F.col("features"))))
+    k = min(d, 3)
+    found = spectrum.principal_components(df, k)
+    values, axes = np.linalg.eigh(np.cov(points.T, bias=True).reshape(d, d))
+    order = np.argsort(-values)[:k]
+    assert found.variances == pytest.approx(values[order]) and found.total == pytest.approx(values.sum())
+    assert np.abs((found.components * axes[:, order].T).sum(axis=1)) == pytest.approx(np.ones(k))
+    assert found.ratios == pytest.approx((values[order] / values.sum()).tolist())
+    for r in spectrum.residual_check(df, found).collect():
+        assert r.length == pytest.approx(1.0) and r.residual < 1e-7 * r.variance
+    placed, ratios = learning.pca(df, k)
+    got = {r.id: r.pca_1 for r in placed.collect() if r.features is not None}
+    assert [got[i] for i in range(300)] == pytest.approx((points @ found.components[0]).tolist())
+    assert sum(r.pca_1 is None for r in placed.collect()) == 1
+    with pytest.raises(ValueError):
+        spectrum.principal_components(df.where("false"), 1)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.names import dedupe_names
+from quadrata.sources.csv_splits import header_names
 
 
 @dataclass(frozen=True)
@@ -47,16 +49,41 @@ def missing_classes(found: DataFrame, required: Sequence[str]) -> list[str]:
     return sorted(set(required) - present)
 
 
-def list_csv(spark: SparkSession, folder: str) -> DataFrame:
+def first_record(spark: SparkSession, path: str, most: int = 1 << 20) -> str:
+    """The first record of a CSV file, from its first bytes only; UTF-8, or Latin-1 if they are not valid UTF-8."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system, size = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), 1 << 12
+    while True:
+        stream = system.open(place)
+        try:
+            head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, size)))
+        finally:
+            stream.close()
+        lines, end = head.split(b"\n"), 1
+        while end < len(lines) and b"\n".join(lines[:end]).count(b'"') % 2:
+            end += 1
+        if end < len(lines) or len(head) < size or size >= most:
+            break
+        size *= 16
+    record = b"\n".join(lines[:end]).rstrip(b"\r")
+    try:
+        return record.decode()
+    except UnicodeDecodeError:
+        return record.decode("latin-1")
+
+
+def list_csv(spark: SparkSession, folder: str, threads: int = 32) -> DataFrame:
     """(path, size, columns) of the CSV files in a folder, columns in normal form.
 
-    The listing and the headers are metadata; only the first line of each file is read.
+    The listing and the headers are metadata: the first bytes of each file are read through the file system, several files at
+    a time, and no job is started per file. A file with an empty first line has no
+    columns; Spark's listing leaves out files without any byte.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path", "length")
-    rows = []
-    for entry in listing.collect():
-        header = spark.read.option("header", "true").csv(entry.path, inferSchema=False).columns
-        rows.append((entry.path, entry.length, dedupe_names(h.lstrip("\ufeff") for h in header)))
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path", "length").collect()
+    with ThreadPoolExecutor(threads) as pool:
+        records = list(pool.map(lambda entry: first_record(spark, entry.path), listing))
+    rows = [(e.path, e.length, dedupe_names(header_names(r)) if r.strip("\ufeff") else []) for e, r in zip(listing, records)]
     return spark.createDataFrame(rows, "path string, size bigint, columns array<string>")
 
 

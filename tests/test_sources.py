@@ -72,3 +72,32 @@ def test_missing_sources_are_named(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     with pytest.raises(FileNotFoundError, match="fgj"):
         read_sources(spark, str(tmp_path), str(tmp_path / "landing"))
+
+
+def test_headers_are_read_without_a_job_per_file(spark, tmp_path):
+    from quadrata.sources.discovery import first_record, list_csv
+
+    texts = {
+        "a": "Año Base,x\n1,2\n".encode(),
+        "b": "Año,x\r\n1,2\r\n".encode("latin-1"),
+        "c": '﻿"two\nlines",y,Y\n1,2,3\n'.encode(),
+        "d": b"\n1,2\n",
+        "e": b"only,a,header",
+        "f": ('"' + "long " * 3000 + '",z\n' + "1,2\n" * 50_000).encode(),
+    }
+    for name, data in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(data)
+    (tmp_path / "g.txt").write_text("no,csv\n")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        rows = list_csv(spark, str(tmp_path)).collect()
+        assert jobs() < len(texts)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found = {r.path[-5]: (r.size, r.columns) for r in rows}
+    assert {n: s for n, (s, _) in found.items()} == {n: len(d) for n, d in texts.items()}
+    columns = {n: c for n, (_, c) in found.items()}
+    assert columns["a"] == ["ano_base", "x"] and columns["b"] == ["ano", "x"] and columns["d"] == [] and columns["e"] == ["only", "a", "header"]
+    assert columns["c"][0] == "two_lines" and len(set(columns["c"])) == 3 and len(columns["f"]) == 2
+    assert first_record(spark, str(tmp_path / "c.csv")).endswith("y,Y")

@@ -52,6 +52,12 @@ def time_id(year: Column | str, month: Column | str | int = 0) -> Column:
     return year_number * 100 + month_number
 
 
+def in_years(date: Column | str, first: int, last: int) -> Column:
+    """The date lies in one of the years, as a range of the column itself, which a Parquet reader can use."""
+    value = F.col(date) if isinstance(date, str) else date
+    return (value >= F.lit(f"{first:04d}-01-01")) & (value < F.lit(f"{last + 1:04d}-01-01"))
+
+
 def time_attributes(
     key: Column | str, month_names: Mapping[int, str], snapshot_keys: Iterable[int] = ()
 ) -> dict[str, Column]:

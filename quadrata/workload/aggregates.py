@@ -35,8 +35,8 @@ def counts(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     return sales(spark, folder, keys, {"n": F.lit(1), "flagged": flagged_line()})
 
 
-def revenue(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
-    return sales(spark, folder, keys, {"n": F.lit(1), "revenue": cents("l_extendedprice")})
+def revenue(spark: SparkSession, folder: str, keys: list[str], years: tuple[int, int] | None = None) -> DataFrame:
+    return sales(spark, folder, keys, {"n": F.lit(1), "revenue": cents("l_extendedprice")}, years=years)
 
 
 REVENUE_SQL = "count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue"
@@ -301,7 +301,7 @@ def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("olap_slice", on_lines(f"SELECT nation, year, class, {REVENUE_SQL} FROM ev WHERE year = 1997 GROUP BY nation, year, class"))
 def olap_slice(spark: SparkSession, folder: str) -> DataFrame:
-    return olap.cut(hundredths(revenue(spark, folder, ["nation", "year", "class"]), "revenue"), {"year": 1997})
+    return olap.cut(hundredths(revenue(spark, folder, ["nation", "year", "class"], (1997, 1997)), "revenue"), {"year": 1997})
 
 
 @query(
@@ -312,7 +312,7 @@ def olap_slice(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def olap_dice(spark: SparkSession, folder: str) -> DataFrame:
-    fact = hundredths(revenue(spark, folder, ["nation", "year", "segment", "priority"]), "revenue")
+    fact = hundredths(revenue(spark, folder, ["nation", "year", "segment", "priority"], (1996, 1998)), "revenue")
     return olap.cut(fact, {"year": (1996, 1998), "segment": "BUILDING", "priority": ["1-URGENT", "2-HIGH"]})
 
 

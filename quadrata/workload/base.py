@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrata.functions.entities import EntityCatalog
+from quadrata.functions.dates import in_years
 from quadrata.functions.text import Rule, classify_rules, lookup, pin, with_text_keys
 from quadrata.operators.along import Hop, sum_along
 from quadrata.plans.sources import EventSpec, Labels
@@ -124,10 +125,11 @@ def sales(
     keys: Sequence[str],
     sums: Mapping[str, Column],
     lines: Callable[[DataFrame], DataFrame] = lambda df: df,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Sums of line-item terms per any of: class, year, month, priority, nation_id, nation, segment.
 
-    Only the tables that carry a requested key are joined.
+    Only the tables that carry a requested key are joined. ``years`` keeps the orders of a range of years.
     """
     wanted = set(keys)
     fact = lines(load(spark, folder, "lineitem"))
@@ -135,7 +137,8 @@ def sales(
     if "class" in wanted:
         hops.append(Hop(part_classes(spark, folder), "l_partkey", "p_partkey"))
     if wanted - {"class"}:
-        orders = load(spark, folder, "orders").select(
+        dated = load(spark, folder, "orders")
+        orders = (dated if years is None else dated.where(in_years("o_orderdate", *years))).select(
             "o_orderkey",
             "o_custkey",
             F.year("o_orderdate").alias("year"),

@@ -52,6 +52,13 @@ def test_entry(spark):
     assert df.columns == ["nation", "year", "total", "flagged", "not_flagged", "flagged_share"] and df.count() > 0
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["olap_slice", "olap_dice"])
+def test_year_filters_reach_the_reader(spark, name):
+    plan = REGISTRY[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate," in plan and "LessThan(o_orderdate," in plan
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["fact_month_subtype", "star_join"])
 def test_literal_dimensions_are_small_in_the_plan(spark, name):

@@ -166,7 +166,7 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, grid: _Grid) -> DataFrame:
                 *[F.col(f"b_i{j}").alias(f"bi{j}") for j in dims],
             )
         )
-        tested = cut_lineage(tested)
+        tested = written(tested)
         found = tested.where("_hit").select("a", "b").distinct()
         linked.append(found)
         open_pairs = tested.where("not _hit").drop("_hit").join(found, ["a", "b"], "left_anti")
@@ -182,16 +182,16 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     contracts the edges. At least half of the roots that still have edges vanish per round.
     """
     labels = nodes.select("node", F.col("node").alias("label"))
-    links = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
+    links = written(edges.select("a", "b").where("a <> b").distinct())
     while not links.isEmpty():
-        parents = cut_lineage(
+        parents = written(
             links.select(F.greatest("a", "b").alias("root"), F.least("a", "b").alias("parent"))
             .groupBy("root")
             .agg(F.min("parent").alias("parent"))
         )
         while True:
             upper = parents.select(F.col("root").alias("parent"), F.col("parent").alias("_up"))
-            doubled = cut_lineage(
+            doubled = written(
                 parents.join(upper, "parent", "left").select(
                     "root", F.coalesce("_up", "parent").alias("parent"), F.col("_up").isNotNull().alias("_moved")
                 )
@@ -204,8 +204,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             step = parents.select(F.col("root").alias(col), F.col("parent").alias("_p"))
             return df.join(step, col, "left").withColumn(col, F.coalesce("_p", col)).drop("_p")
 
-        labels = cut_lineage(relabel(labels, "label"))
-        links = cut_lineage(relabel(relabel(links, "a"), "b").where("a <> b").distinct())
+        labels = written(relabel(labels, "label"))
+        links = written(relabel(relabel(links, "a"), "b").where("a <> b").distinct())
     return labels
 
 
@@ -224,12 +224,12 @@ def dbscan(df: DataFrame, key: str, coords: Sequence[str], eps: float, min_sampl
     """
     grid = _checked_grid(coords, eps)
     sites, cells = _sites_and_cells(df, key, coords, grid)
-    pairs = cut_lineage(_neighbour_cells(cells, grid))
-    flagged = cut_lineage(_core_sites(sites, pairs, grid, min_samples))
+    pairs = written(_neighbour_cells(cells, grid))
+    flagged = written(_core_sites(sites, pairs, grid, min_samples))
     core = flagged.where("core")
     linked = _linked_cells(core, pairs, grid)
     labels = connected_components(core.select(F.col("cell").alias("node")).distinct(), linked)
-    labelled = cut_lineage(core.join(labels.withColumnRenamed("node", "cell"), "cell"))
+    labelled = written(core.join(labels.withColumnRenamed("node", "cell"), "cell"))
     first = labelled.groupBy("label").agg(F.min("site").alias("first"))
     numbers = dense_key(first, ["first"], "number").select("label", (F.col("number") - 1).cast("int").alias("cluster"))
     core_clusters = labelled.join(numbers, "label").drop("label")

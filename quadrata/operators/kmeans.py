@@ -9,6 +9,7 @@ that no longer move are left out of the next scan. The driver holds the centres,
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -171,28 +172,31 @@ def start_sample(vectors: DataFrame, n: int, features: str = "features", rows: i
     return found[np.lexsort(found.T[::-1])] if len(found) else found
 
 
-def lloyd(blocks: DataFrame, fits: list[Fit], iterations: int = 300, tolerance: float = 1e-6) -> list[Fit]:
+def lloyd(blocks: DataFrame, fits: list[Fit], iterations: int | None = 300, tolerance: float = 1e-6, idle: int = 10) -> list[Fit]:
     """Moves all fits until none moves a centre by more than ``tolerance``; every fit ends with the cost of its centres.
 
-    At most ``iterations`` + 1 scans. A centre without rows stays where it is.
+    At most ``iterations`` + 1 scans. A centre without rows stays where it is. None sets no bound: every move lowers the cost,
+    so no clustering comes twice; where rounding alone moves centres, a fit ends after ``idle`` scans without a lower cost.
     """
-    for turn in range(iterations + 1):
-        moving = [f for f in fits if f.moving]
+    least, waited = [float("inf")] * len(fits), [0] * len(fits)
+    for turn in itertools.count():
+        moving = [i for i, f in enumerate(fits) if f.moving]
         if not moving:
-            break
-        n, cost, sums = _moments(blocks, moving)
+            return fits
+        n, cost, sums = _moments(blocks, [fits[i] for i in moving])
         first = 0
-        for f in moving:
+        for i in moving:
+            f = fits[i]
             own = slice(first, first := first + f.k)
             f.inertia = float(cost[own].sum())
+            least[i], waited[i] = (f.inertia, 0) if f.inertia < least[i] else (least[i], waited[i] + 1)
             filled = n[own] > 0
             moved = f.centres.copy()
             moved[filled] = sums[own][filled] / n[own][filled][:, None]
             shift = float(np.sqrt(((moved - f.centres) ** 2).sum(axis=1)).max())
-            f.moving = shift > tolerance and turn < iterations
+            f.moving = shift > tolerance and (waited[i] < idle if iterations is None else turn < iterations)
             if f.moving:
-                f.centres, f.iterations = moved, turn + 1
-    return fits
+                f.centres, f.iterations = moved, f.iterations + 1
 
 
 def kmeans_fits(
@@ -200,6 +204,8 @@ def kmeans_fits(
 ) -> list[Fit]:
     """A fit for every k and every start, in the order of ks and seeds; ties and equal rows are no special case.
 
+    ``iterations`` and ``tolerance`` end the comparison of the starts. The best fit of every k then moves on until its centres
+    are the means of the rows nearest to them, which takes as many scans as it takes and never makes it worse.
     All vectors have the same length. Without a vector the result is empty; with fewer different vectors than k, some
     centres coincide.
     """
@@ -210,7 +216,12 @@ def kmeans_fits(
         sample = start_sample(vectors, 1, features) if rows else sample
     if not len(sample):
         return []
-    return lloyd(blocks, [Fit(k, seed + i, starts(sample, k, seed + i)) for k in ks for i in range(restarts)], iterations, tolerance)
+    fits = lloyd(blocks, [Fit(k, seed + i, starts(sample, k, seed + i)) for k in ks for i in range(restarts)], iterations, tolerance)
+    best = list(best_fits(fits).values())
+    for f in best:
+        f.moving = True
+    lloyd(blocks, best, None, 1e-12 * (1 + float(np.abs(sample).max())))
+    return fits
 
 
 def best_fits(fits: Sequence[Fit]) -> dict[int, Fit]:

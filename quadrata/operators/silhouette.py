@@ -1,7 +1,9 @@
 """Mean silhouettes of several clusterings of the same rows at once.
 
 The squared Euclidean form is linear in the rows. The plain Euclidean one needs the distance of every pair of rows; it is
-computed in cells of two stripes of bounded size, so its cost grows with the square of the rows and its memory does not.
+computed in cells of two stripes of bounded size, so its cost grows with the square of the rows and its memory does not. A
+labelling of many clusters is dealt by cluster, so that a cell sees small clusters whole and hands on four numbers per row,
+not one per cluster.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 
 from quadrata.session import cut_lineage
 
-STRIPE = 4096
+#: Rows of a stripe, rows of a group of clusters, and clusters up to which a cell sums the distances to each.
+STRIPE, GROUP, FEW = 4096, 1 << 15, 32
 METRICS = ("euclidean", "squaredEuclidean")
 
 
@@ -43,13 +46,8 @@ def _sums(names: list[list[int]]):
         labels = np.stack(right.column("labels").to_numpy())
         member = np.concatenate([labels[:, [i]] == np.array(own)[None, :] for i, own in enumerate(names)], axis=1).astype(float)
         out = np.zeros((len(a), width))
-        squares = (b**2).sum(axis=1)
         for s in range(0, len(a), 256):
-            part = a[s : s + 256]
-            rough = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (part @ b.T)
-            near = np.argwhere(rough < 1e-6 * (squares[None, :] + 1))  # what cancels is computed by differences
-            rough[near[:, 0], near[:, 1]] = ((part[near[:, 0]] - b[near[:, 1]]) ** 2).sum(axis=1)
-            out[s : s + 256] = np.sqrt(np.maximum(rough, 0.0)) @ member
+            out[s : s + 256] = _distances(a[s : s + 256], b) @ member
         return pa.table([left.column("row"), pa.array(out.tolist(), pa.list_(pa.float64()))], schema=schema)
 
     return run
@@ -77,15 +75,97 @@ def _scores(names: list[list[int]], sizes: np.ndarray):
     return run
 
 
+def _distances(part: np.ndarray, b: np.ndarray) -> np.ndarray:
+    squares = (b**2).sum(axis=1)
+    rough = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (part @ b.T)
+    near = np.argwhere(rough < 1e-6 * (squares[None, :] + 1))  # what cancels is computed by differences
+    rough[near[:, 0], near[:, 1]] = ((part[near[:, 0]] - b[near[:, 1]]) ** 2).sum(axis=1)
+    return np.sqrt(np.maximum(rough, 0.0, out=rough), out=rough)
+
+
+_FOUND = pa.schema([("row", pa.int64()), ("own", pa.float64()), ("other", pa.float64()), ("label", pa.int32()), ("s", pa.float64())])
+
+
+def _grouped(left: pa.Table, right: pa.Table) -> pa.Table:
+    """For every row of a stripe: the sum of its distances to its own cluster and the least mean of another one, over the clusters
+    of the group. Of a cluster larger than a group, which comes alone and in parts, the sum and the label instead."""
+    if not left.num_rows or not right.num_rows:
+        return _FOUND.empty_table()
+    right = right.sort_by("label")
+    a, b = (np.stack(column.to_numpy()) for column in (left.column("v"), right.column("x")))
+    mine, theirs = left.column("l").to_numpy(), right.column("label").to_numpy()
+    names, begins = np.unique(theirs, return_index=True)
+    sizes = right.column("n").to_numpy()[begins].astype(float)
+    part_of_one = bool(right.column("large")[0].as_py())
+    own, other, s = np.full(len(a), np.nan), np.full(len(a), np.inf), np.full(len(a), np.nan)
+    step = max(1, (1 << 21) // len(b))
+    for i in range(0, len(a), step):
+        sums = np.add.reduceat(_distances(a[i : i + step], b), begins, axis=1)
+        if part_of_one:
+            s[i : i + step] = sums[:, 0]
+            continue
+        at = np.minimum(np.searchsorted(names, mine[i : i + step]), len(names) - 1)
+        here = np.flatnonzero(names[at] == mine[i : i + step])
+        means = sums / sizes
+        own[i + here] = sums[here, at[here]]
+        means[here, at[here]] = np.inf
+        other[i : i + step] = means.min(axis=1)
+    label = pa.array(np.full(len(a), names[0], dtype=np.int32), mask=np.full(len(a), not part_of_one))
+    columns = [pa.array(own, mask=np.isnan(own)), pa.array(other, mask=np.isinf(other)), label, pa.array(s, mask=np.isnan(s))]
+    return pa.table([left.column("r"), *columns], schema=_FOUND)
+
+
+def _by_cluster(rows: DataFrame, i: int, total: int) -> float:
+    """The mean silhouette of the i-th labelling. ``rows``: row, x, labels."""
+    mine = rows.select("row", "x", F.get("labels", F.lit(i)).alias("label"))
+    sizes = cut_lineage(mine.groupBy("label").agg(F.count("*").alias("n")))
+    groups, stripes = max(1, math.ceil(2 * total / GROUP)), max(1, math.ceil(total / STRIPE))
+    large = F.col("n") > GROUP // 2
+    bucket = F.pmod(F.xxhash64("label"), F.lit(groups))
+    parts = F.struct(F.col("label").alias("of"), F.when(large, F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / GROUP))).otherwise(bucket).alias("part"))
+    dealt = mine.join(sizes, "label").select("row", "x", "label", "n", large.alias("large"), F.when(large, parts["of"]).alias("of"), parts["part"].alias("part"))
+    dealt = cut_lineage(dealt)
+    cells = F.broadcast(dealt.select("of", "part").distinct())  # a few per GROUP rows
+    own = F.pmod(F.xxhash64("row"), F.lit(stripes)).cast("int")
+    left = dealt.select(F.col("row").alias("r"), F.col("x").alias("v"), F.col("label").alias("l"), own.alias("a")).crossJoin(cells)
+    right = dealt.select("x", "label", "n", "large", "of", "part", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("a"))
+    keys = ["a", "of", "part"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_grouped, "row bigint, own double, other double, label int, s double")
+    found = found.groupBy("row", "label").agg(F.sum("own").alias("own"), F.min("other").alias("other"), F.sum("s").alias("s"))
+    of, size = F.col("c.label"), F.col("c.n")
+    found = found.alias("f").join(sizes.alias("c"), F.col("f.label") == of, "left")
+    found = found.select("row", "own", "other", F.col("f.label").alias("of"), "s", (F.col("s") / size).alias("mean"))
+    joined = found.join(dealt.select("row", "label", "n"), "row")
+    same = F.col("of") == F.col("label")
+    per_row = joined.groupBy("row").agg(
+        F.first("n").alias("n"),
+        F.sum(F.when(same, F.col("s")).otherwise(F.col("own"))).alias("own"),
+        F.min(F.when(same, F.lit(None)).otherwise(F.least("other", "mean"))).alias("other"),
+    )
+    within = F.col("own") / F.greatest(F.col("n") - 1, F.lit(1))
+    larger = F.greatest(within, F.col("other"))
+    score = F.when((F.col("n") > 1) & (larger > 0), (F.col("other") - within) / larger).otherwise(0.0)
+    return per_row.agg(F.sum(score)).first()[0] / total
+
+
 def _euclidean(df: DataFrame, features: str, labels: Sequence[str]) -> list[float | None]:
     rows = df.select(F.monotonically_increasing_id().alias("row"), vector_to_array(features).alias("x"), F.array(*[F.col(c).cast("int") for c in labels]).alias("labels"))
     rows = cut_lineage(rows)
-    counted = rows.select(F.posexplode("labels").alias("i", "label")).groupBy("i", "label").count().orderBy("i", "label").collect()  # one row per cluster
-    names = [[r.label for r in counted if r.i == i] for i in range(len(labels))]
-    sizes = np.array([r["count"] for r in counted], dtype=float)
-    total = int(sizes[: len(names[0])].sum())
+    total = rows.count()
     if not total:
         return [None] * len(labels)
+    told = rows.agg(*[F.count_distinct(F.get("labels", F.lit(i))).alias(f"d{i}") for i in range(len(labels))]).first()
+    scored = [i for i in range(len(labels)) if 2 <= told[i] < total]
+    few = [i for i in scored if told[i] <= FEW]
+    scores = dict(zip(few, _by_rows(rows.withColumn("labels", F.array(*[F.get("labels", F.lit(i)) for i in few])), len(few), total))) if few else {}
+    return [scores[i] if i in scores else _by_cluster(rows, i, total) if i in scored else None for i in range(len(labels))]
+
+
+def _by_rows(rows: DataFrame, labellings: int, total: int) -> list[float]:
+    """The mean silhouettes of labellings of few clusters, from one pass over all pairs of rows."""
+    counted = rows.select(F.posexplode("labels").alias("i", "label")).groupBy("i", "label").count().orderBy("i", "label").collect()  # one row per cluster
+    names = [[r.label for r in counted if r.i == i] for i in range(labellings)]
+    sizes = np.array([r["count"] for r in counted], dtype=float)
     stripes = max(1, math.ceil(total / STRIPE))
     every = F.sequence(F.lit(0), F.lit(stripes - 1))
     own = F.pmod(F.xxhash64("row"), F.lit(stripes)).cast("int")
@@ -95,7 +175,7 @@ def _euclidean(df: DataFrame, features: str, labels: Sequence[str]) -> list[floa
     sums = parts.groupBy("row").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
     parts = rows.join(sums, "row").select("labels", "sums").mapInArrow(_scores(names, sizes), "i int, s double, n bigint")
     found = {r.i: r.s / r.n for r in parts.groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}  # one row per labelling
-    return [found[i] if 2 <= len(mine) < total else None for i, mine in enumerate(names)]
+    return [found[i] for i in range(labellings)]
 
 
 def silhouettes(df: DataFrame, labels: Sequence[str], features: str = "features", metric: str = "euclidean") -> list[float | None]:

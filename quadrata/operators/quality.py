@@ -27,14 +27,22 @@ def _rows(df: DataFrame, name: str, observed: Column, severity: str, passed: Col
     )
 
 
-def row_checks(df: DataFrame, violations: Mapping[str, Column], severity: str = CRITICAL) -> DataFrame:
-    """Checks that no row violates a condition; all conditions of a table are counted in one scan."""
+def row_checks(df: DataFrame, violations: Mapping[str, Column], severity: str | Mapping[str, str] = CRITICAL) -> DataFrame:
+    """Checks that no row violates a condition; all conditions of a table are counted in one scan.
+
+    ``severity`` is that of all checks, or of the checks it names while the others are critical.
+    """
+    severities = dict.fromkeys(violations, severity) if isinstance(severity, str) else {**dict.fromkeys(violations, CRITICAL), **severity}
     parts = [
-        F.struct(F.lit(name).alias("check_name"), F.count_if(F.coalesce(bad, F.lit(False))).alias("observed"))
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.lit(severities[name]).alias("severity"),
+            F.count_if(F.coalesce(bad, F.lit(False))).alias("observed"),
+        )
         for name, bad in violations.items()
     ]
     return df.agg(F.array(*parts).alias("parts")).select(F.inline("parts")).select(
-        "check_name", F.lit(severity).alias("severity"), (F.col("observed") == 0).alias("passed"), "observed"
+        "check_name", "severity", (F.col("observed") == 0).alias("passed"), "observed"
     )
 
 

@@ -1,13 +1,16 @@
 """Mean silhouettes of several clusterings of the same rows at once.
 
 The squared Euclidean form is linear in the rows. The plain Euclidean one needs the distance of every pair of rows; it is
-computed in cells of two stripes of bounded size, so its cost grows with the square of the rows and its memory does not. A
+computed in cells of two stripes of bounded size, so its cost grows with the square of the rows and its memory does not. Where
+all clusters are few, equal rows are one, every pair is met once, and up to half a million rows of 64 numbers are dealt to the
+same number of cells, so what is shuffled grows with the rows until then. A
 labelling of many clusters is dealt by cluster, so that a cell sees small clusters whole and hands on four numbers per row,
 not one per cluster.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
@@ -23,6 +26,8 @@ from quadrata.session import cut_lineage
 
 #: Rows of a stripe, rows of a group of clusters, and clusters up to which a cell sums the distances to each.
 STRIPE, GROUP, FEW = 4096, 1 << 15, 32
+#: Labellings of few clusters: rows and numbers of a stripe at most, stripes that keep all cores busy, rows of a tile of distances.
+SIDE, VALUES, LEAST, TILE = 1 << 15, 1 << 21, 16, (256, 256)
 METRICS = ("euclidean", "squaredEuclidean")
 
 
@@ -34,31 +39,52 @@ def _squared(df: DataFrame, features: str, label: str) -> float | None:
     return ClusteringEvaluator(featuresCol=features, predictionCol="_cluster", metricName="silhouette").evaluate(shifted)
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
 def _sums(names: list[list[int]]):
-    """For every row of the left stripe, the sum of its distances to the rows of each cluster in the right one."""
+    """For every row of both stripes, the sum of its distances to the rows of each cluster in the other one. A stripe that meets
+    itself is told once. Every distance is computed once and counted on both sides, in tiles that stay in a core's cache."""
+    schema = pa.schema([("row", pa.int64()), ("sums", pa.list_(pa.float64()))])
     width = sum(map(len, names))
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("row", pa.int64()), ("sums", pa.list_(pa.float64()))])
+    def members(rows: pa.Table) -> np.ndarray:
+        labels = _matrix(rows.column("labels"))
+        own = np.concatenate([labels[:, [i]] == np.array(each)[None, :] for i, each in enumerate(names)], axis=1)
+        return own * rows.column("n").to_numpy().astype(float)[:, None]
+
+    def told(rows: pa.Table, sums: np.ndarray) -> pa.Table:
+        lists = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, width, dtype=np.int32), sums.ravel())
+        return pa.table([rows.column("row").combine_chunks(), lists], schema=schema)
+
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        a, b = (np.stack(t.column("x").to_numpy()) for t in (left, right))
-        labels = np.stack(right.column("labels").to_numpy())
-        member = np.concatenate([labels[:, [i]] == np.array(own)[None, :] for i, own in enumerate(names)], axis=1).astype(float)
-        out = np.zeros((len(a), width))
-        for s in range(0, len(a), 256):
-            out[s : s + 256] = _distances(a[s : s + 256], b) @ member
-        return pa.table([left.column("row"), pa.array(out.tolist(), pa.list_(pa.float64()))], schema=schema)
+        a, b, itself = _matrix(left.column("x")), _terms(_matrix(right.column("x"))), key[0] == key[1]
+        of_a, of_b = members(left), members(right)
+        to_b, to_a = np.zeros((left.num_rows, width)), np.zeros((right.num_rows, width))
+        for i, j in itertools.product(range(0, left.num_rows, TILE[0]), range(0, right.num_rows, TILE[1])):
+            rows, others = slice(i, i + TILE[0]), slice(j, j + TILE[1])
+            away = _distances(a[rows], b, others)
+            to_b[rows] += away @ of_b[others]
+            if not itself:
+                to_a[others] += away.T @ of_a[rows]
+        return told(left, to_b) if itself else pa.concat_tables([told(left, to_b), told(right, to_a)])
 
     return run
 
 
 def _scores(names: list[list[int]], sizes: np.ndarray):
-    """Per labelling the sum of the silhouettes of a task's rows, and how many these are."""
+    """Per labelling the sum of the silhouettes of a task's rows, and how many these are. Equal rows are one with their number."""
 
     def run(batches):
         for batch in batches:
-            labels, sums = (np.array(batch.column(c).to_pylist()).reshape(batch.num_rows, -1) for c in ("labels", "sums"))
+            if not batch.num_rows:
+                continue
+            labels, sums, times = _matrix(batch.column("labels")), _matrix(batch.column("sums")), batch.column("n").to_numpy()
             first, every = 0, np.arange(batch.num_rows)
             for i, own in enumerate(names):
                 n, mine = sizes[first : first + len(own)], sums[:, first : first + len(own)]
@@ -70,17 +96,25 @@ def _scores(names: list[list[int]], sizes: np.ndarray):
                 other = means.min(axis=1)
                 larger = np.maximum(within, other)
                 score = np.where((n[at] > 1) & (larger > 0) & np.isfinite(larger), (other - within) / np.where(larger > 0, larger, 1.0), 0.0)
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([score.sum()]), pa.array([batch.num_rows])], ["i", "s", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([(score * times).sum()]), pa.array([times.sum()])], ["i", "s", "n"])
 
     return run
 
 
-def _distances(part: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _terms(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, the right factor of a product that gives squared distances from them, and below what a square is inexact."""
     squares = (b**2).sum(axis=1)
-    rough = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (part @ b.T)
-    near = np.argwhere(rough < 1e-6 * (squares[None, :] + 1))  # what cancels is computed by differences
-    rough[near[:, 0], near[:, 1]] = ((part[near[:, 0]] - b[near[:, 1]]) ** 2).sum(axis=1)
-    return np.sqrt(np.maximum(rough, 0.0, out=rough), out=rough)
+    return b, np.concatenate([b.T, np.ones((1, len(b))), squares[None, :]]), 1e-6 * (squares + 1)
+
+
+def _distances(part: np.ndarray, terms: tuple[np.ndarray, np.ndarray, np.ndarray], of: slice = slice(None)) -> np.ndarray:
+    b, factor, inexact = terms[0][of], terms[1][:, of], terms[2][of]
+    rough = np.concatenate([-2 * part, (part**2).sum(axis=1)[:, None], np.ones((len(part), 1))], axis=1) @ factor
+    if rough.min() < inexact.max():
+        near = np.argwhere(rough < inexact[None, :])  # what cancels is computed by differences
+        for own, other in (near[i : i + (1 << 14)].T for i in range(0, len(near), 1 << 14)):
+            rough[own, other] = ((part[own] - b[other]) ** 2).sum(axis=1)
+    return np.sqrt(rough, out=rough)
 
 
 _FOUND = pa.schema([("row", pa.int64()), ("own", pa.float64()), ("other", pa.float64()), ("label", pa.int32()), ("s", pa.float64())])
@@ -92,13 +126,13 @@ def _grouped(left: pa.Table, right: pa.Table) -> pa.Table:
     if not left.num_rows or not right.num_rows:
         return _FOUND.empty_table()
     right = right.sort_by("label")
-    a, b = (np.stack(column.to_numpy()) for column in (left.column("v"), right.column("x")))
+    a, b = _matrix(left.column("v")), _terms(_matrix(right.column("x")))
     mine, theirs = left.column("l").to_numpy(), right.column("label").to_numpy()
     names, begins = np.unique(theirs, return_index=True)
     sizes = right.column("n").to_numpy()[begins].astype(float)
     part_of_one = bool(right.column("large")[0].as_py())
     own, other, s = np.full(len(a), np.nan), np.full(len(a), np.inf), np.full(len(a), np.nan)
-    step = max(1, (1 << 21) // len(b))
+    step = max(1, (1 << 21) // right.num_rows)
     for i in range(0, len(a), step):
         sums = np.add.reduceat(_distances(a[i : i + step], b), begins, axis=1)
         if part_of_one:
@@ -166,14 +200,18 @@ def _by_rows(rows: DataFrame, labellings: int, total: int) -> list[float]:
     counted = rows.select(F.posexplode("labels").alias("i", "label")).groupBy("i", "label").count().orderBy("i", "label").collect()  # one row per cluster
     names = [[r.label for r in counted if r.i == i] for i in range(labellings)]
     sizes = np.array([r["count"] for r in counted], dtype=float)
-    stripes = max(1, math.ceil(total / STRIPE))
-    every = F.sequence(F.lit(0), F.lit(stripes - 1))
+    alike = rows.groupBy("x", "labels").agg(F.count("*").alias("n"))
+    alike = cut_lineage(alike.select(F.monotonically_increasing_id().alias("row"), "x", "labels", "n"))
+    shape = alike.agg(F.count("*").alias("rows"), F.max(F.size("x")).alias("width")).first()
+    side = max(1, min(SIDE, VALUES // max(shape["width"], 1)))
+    stripes = max(math.ceil(shape["rows"] / side), min(LEAST, math.ceil(shape["rows"] / TILE[0])))
     own = F.pmod(F.xxhash64("row"), F.lit(stripes)).cast("int")
-    left = rows.select("row", "x", own.alias("a"), F.explode(every).alias("b"))
-    right = rows.toDF("r", "x", "labels").select("x", "labels", F.explode(every).alias("a"), F.pmod(F.xxhash64("r"), F.lit(stripes)).cast("int").alias("b"))
+    dealt = alike.withColumn("own", own)
+    left = dealt.withColumns({"a": F.col("own"), "b": F.explode(F.sequence("own", F.lit(stripes - 1)))}).drop("own")
+    right = dealt.withColumns({"a": F.explode(F.sequence(F.lit(0), "own")), "b": F.col("own")}).drop("own")
     parts = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_sums(names), "row bigint, sums array<double>")
     sums = parts.groupBy("row").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-    parts = rows.join(sums, "row").select("labels", "sums").mapInArrow(_scores(names, sizes), "i int, s double, n bigint")
+    parts = alike.join(sums, "row").select("labels", "sums", "n").mapInArrow(_scores(names, sizes), "i int, s double, n bigint")
     found = {r.i: r.s / r.n for r in parts.groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}  # one row per labelling
     return [found[i] for i in range(labellings)]
 

@@ -68,17 +68,18 @@ def infer_types(df: DataFrame, rules: Sequence[TypeRule] = NAME_RULES, sample: i
     the data is fractional. ``sample`` bounds the rows read; the default is the whole table.
     """
     rows = df if sample is None else df.limit(sample)
+    rows = rows.select(*[F.col(f"`{name}`").cast("string").alias(f"t{i}") for i, name in enumerate(df.columns)])
+    rows = rows.select("*", *[try_double(f"t{i}").alias(f"n{i}") for i in range(len(df.columns))])  # every number is read once
     parts = []
-    for name in df.columns:
+    for i, name in enumerate(df.columns):
         ruled = next((kind for test, kind in rules if test(name)), None)
-        number = try_double(F.col(f"`{name}`").cast("string"))
         parts.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.lit(ruled).alias("ruled"),
-                F.count(F.col(f"`{name}`")).alias("non_null"),
-                F.count(number).alias("numeric"),
-                F.count_if(number % 1 == 0).alias("whole"),
+                F.count(f"t{i}").alias("non_null"),
+                F.count(f"n{i}").alias("numeric"),
+                F.count_if(F.col(f"n{i}") % 1 == 0).alias("whole"),
             )
         )
     counted = rows.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrata.functions.numeric import try_double
@@ -14,14 +15,23 @@ from quadrata.functions.text import lookup, text_key
 FIRST_YEAR, LAST_YEAR = 1678, 2261
 
 
+def _accepted(value: Column) -> Column:
+    return F.when(value.between(F.lit(date(FIRST_YEAR, 1, 1)), F.lit(date(LAST_YEAR, 12, 31))), value)
+
+
 def parse_date(col: Column | str) -> Column:
     """Date from ISO text, null if it cannot be read or lies outside the accepted years."""
-    value = (F.col(col) if isinstance(col, str) else col).try_cast("date")
-    return F.when(F.year(value).between(FIRST_YEAR, LAST_YEAR), value)
+    return _accepted((F.col(col) if isinstance(col, str) else col).try_cast("date"))
+
+
+def with_dates(df: DataFrame, dates: Mapping[str, str]) -> DataFrame:
+    """Add dates, ``{new column: source}``, as :func:`parse_date` reads them, in steps that read every text once."""
+    return df.withColumns({n: F.col(s).try_cast("date") for n, s in dates.items()}).withColumns({n: _accepted(F.col(n)) for n in dates})
 
 
 def iso_date(col: Column | str) -> Column:
-    return F.date_format(col, "yyyy-MM-dd")
+    """Text yyyy-MM-dd of a date of four-digit years; no time of day or time zone is involved."""
+    return (F.col(col) if isinstance(col, str) else col).cast("date").cast("string")
 
 
 def month_of_key(key: Column, names: Mapping[str, int]) -> Column:

@@ -55,20 +55,24 @@ class EntityCatalog:
     def first_canonical(self, primary: Column | str, secondary: Column | str) -> Column:
         return F.coalesce(self.canonical(primary), self.canonical(secondary))
 
-    def with_canonical(self, df: DataFrame, out: str, *sources: Column | str) -> DataFrame:
-        """Add the canonical key of the first source that has one.
+    def with_canonical(self, df: DataFrame, out: str, *sources: Column | str, also: Mapping[str, Column | str] | None = None) -> DataFrame:
+        """Add the canonical key of the first source that has one, and ``also`` further text keys in the same steps.
 
-        Same result as the expressions above, computed in steps so that no intermediate value is repeated.
+        Same result as the expressions above, computed in steps so that no intermediate value is repeated. A source is only
+        spelled out where neither it nor one before it holds a code.
         """
-        raws, keys = [f"_raw_{i}" for i in range(len(sources))], [f"_text_{i}" for i in range(len(sources))]
+        raws, codes, keys = [[f"_{kind}_{i}" for i in range(len(sources))] for kind in ("raw", "code", "text")]
         columns = [F.col(s) if isinstance(s, str) else s for s in sources]
-        df = df.withColumns({r: strip_spaces(c.cast("string")) for r, c in zip(raws, columns, strict=True)})
-        df = with_text_keys(df, dict(zip(keys, raws, strict=True)))
+        df = df.withColumns({r: c.cast("string") for r, c in zip(raws, columns, strict=True)})
+        df = df.withColumns({r: strip_spaces(r) for r in raws})
+        df = df.withColumns({c: self._code(F.col(r)) for r, c in zip(raws, codes)})
+        uncoded = [F.coalesce(*[F.col(c) for c in codes[: i + 1]]).isNull() for i in range(len(sources))]
+        df = with_text_keys(df, {**{k: F.when(none, F.col(r)) for k, r, none in zip(keys, raws, uncoded)}, **(also or {})})
         df = df.withColumns({k: self._without_prefix(F.col(k)) for k in keys})
         ends = {k: F.when(self._has_suffix(F.col(k)), self._without_suffix(F.col(k))).otherwise(F.col(k)) for k in keys}
         df = df.withColumns(ends)
-        found = [c for r, k in zip(raws, keys) for c in (self._code(F.col(r)), lookup(self.aliases, F.col(k)))]
-        return df.withColumn(out, F.coalesce(*found)).drop(*raws, *keys)
+        found = [c for code, k in zip(codes, keys) for c in (F.col(code), lookup(self.aliases, F.col(k)))]
+        return df.withColumn(out, F.coalesce(*found)).drop(*raws, *codes, *keys)
 
     def name(self, key: Column | str) -> Column:
         return lookup({k: k.title() for k in self.keys}, F.col(key) if isinstance(key, str) else key)

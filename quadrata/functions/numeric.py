@@ -15,20 +15,22 @@ def _column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-# All texts that a cast to double reads, and few others. The cast itself throws and catches an error for every other text.
-_NUMBER_LIKE = r"^[\x00-\x20]*[+-]?(?:[0-9.]+(?:[eE][+-]?[0-9]+)?[dDfF]?|0[xX][0-9a-fA-F.]+[pP][+-]?[0-9]+[dDfF]?|(?i:inf|infinity|nan))[\x00-\x20]*$"
+# All texts that a cast to double reads, and few others, but those that end in a d or f (blanks after it aside). The cast itself
+# throws and catches an error for every text it cannot read.
+_DIGITS = r"(?:[0-9.]+(?:[eE][+-]?[0-9]+)?|0[xX][0-9a-fA-F.]+[pP][+-]?[0-9]+)"
+_NUMBER_LIKE = (
+    rf"^[\x00-\x20]*[+-]?(?:{_DIGITS}|(?i:infinity)|(?:{_DIGITS}[dDfF]|(?i:inf))(?=[\x00-\x20]*[\x00-\x1f]))[\x00-\x20]*$"
+)
 
 
 def try_double(col: Column | str) -> Column:
     """Number or null: no error on bad text, no NaN, no Java type suffix such as ``1d``.
 
-    Text that does not look like a number is told by a pattern, so a column full of it costs no errors.
+    Text that does not look like a number is told by a pattern, so a column full of it costs no errors; the rest is cast once.
     """
     value = _column(col)
-    text = value.cast("string")
-    number = F.when((F.typeof(value) != "string") | text.rlike(_NUMBER_LIKE), value.try_cast("double"))
-    suffix = F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f")
-    return F.when(~suffix & ~F.isnan(number), number)
+    readable = ~F.typeof(value).startswith("string") | value.cast("string").rlike(_NUMBER_LIKE)
+    return F.nanvl(F.when(readable, value.try_cast("double")), F.lit(None).cast("double"))
 
 
 def coerce_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -80,8 +80,9 @@ def strip_accents(col: Column | str) -> Column:
     text = F.col(col) if isinstance(col, str) else col
     source, target, dropped, expanded = _decompositions()
     letters = F.transform(F.split(text, ""), lambda c: F.coalesce(lookup(expanded, c), _syllable(c), c))
-    has_none = (F.char_length(F.translate(text, "".join(expanded), "")) == F.char_length(text)) & ~text.rlike(
-        f"[{chr(_HANGUL)}-{chr(_HANGUL_END - 1)}]"
+    has_none = text.rlike(r"^[\x00-\x7F\xC0-\xFF]*+$") | (
+        (F.char_length(F.translate(text, "".join(expanded), "")) == F.char_length(text))
+        & ~text.rlike(f"[{chr(_HANGUL)}-{chr(_HANGUL_END - 1)}]")
     )
     wide = F.when(has_none, text).otherwise(F.concat_ws("", letters))
     return F.when(_is_ascii(text), text).otherwise(F.translate(wide, source + dropped, target))
@@ -101,13 +102,27 @@ def strip_accents_nfkd(col: Column | str) -> Column:
     return decompose(col)
 
 
+def _ends_visibly(text: Column) -> Column:
+    """The first and the last character are visible ASCII characters (of a text in binary collation)."""
+    return text.between("!", "~") & F.substring(text.cast("binary"), -1, 1).between(F.lit(b"!"), F.lit(b"~"))
+
+
 def strip_spaces(col: Column | str) -> Column:
-    """Trim every Unicode blank on both sides, not only the space character."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Trim every Unicode blank on both sides, not only the space character.
+
+    Trimming compares both ends with every blank. A column given by name, in binary collation, is only trimmed where its ends
+    may be blanks; an expression would be computed once per use, so it is always trimmed.
+    """
+    trimmed = F.btrim(col, F.lit(WHITESPACE))
+    return F.when(_ends_visibly(F.col(col)), F.col(col)).otherwise(trimmed) if isinstance(col, str) else trimmed
 
 
-def _words(plain: Column) -> Column:
-    return F.trim(F.regexp_replace(F.upper(plain), "[^A-Z0-9]+", " "))
+def _words(upper: Column) -> Column:
+    return F.regexp_replace(upper, "[^A-Z0-9]+", " ")
+
+
+def _is_words(upper: Column) -> Column:
+    return upper.rlike(r"^[A-Z0-9 ]*+\z") & ~upper.contains("  ")
 
 
 def text_key(col: Column | str, plain: Column | None = None) -> Column:
@@ -115,16 +130,20 @@ def text_key(col: Column | str, plain: Column | None = None) -> Column:
 
     ``plain`` replaces the accent-free form, e.g. with :func:`strip_accents_nfkd`.
     """
-    return F.nullif(_words(strip_accents(col) if plain is None else plain), F.lit(""))
+    return F.nullif(F.trim(_words(F.upper(strip_accents(col) if plain is None else plain))), F.lit(""))
 
 
 def with_text_keys(df: DataFrame, keys: Mapping[str, Column | str]) -> DataFrame:
-    """Add text keys, ``{new column: source}``, in steps that compute every intermediate value once."""
+    """Add text keys, ``{new column: source}``, in steps that compute every intermediate value once.
+
+    Text that already consists of words and single blanks is told by one match and not rewritten.
+    """
     stages = {name: f"_key_{i}" for i, name in enumerate(keys)}
     raw = {stages[n]: F.col(s) if isinstance(s, str) else s for n, s in keys.items()}
     df = df.withColumns(raw)
     df = df.withColumns({c: strip_accents(c) for c in raw})
-    df = df.withColumns({c: _words(F.col(c)) for c in raw})
+    df = df.withColumns({c: F.upper(c) for c in raw})
+    df = df.withColumns({c: F.trim(F.when(_is_words(F.col(c)), F.col(c)).otherwise(_words(F.col(c)))) for c in raw})
     return df.withColumns({name: F.nullif(F.col(c), F.lit("")) for name, c in stages.items()}).drop(*raw)
 
 
@@ -150,7 +169,7 @@ def trim_strings(df: DataFrame) -> DataFrame:
     """Trim all string columns; other columns are left alone."""
     return df.select(
         *[
-            strip_spaces(F.col(f"`{f.name}`")).alias(f.name)
+            strip_spaces(f"`{f.name}`" if f.dataType == T.StringType() else F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f"`{f.name}`")
             for f in df.schema

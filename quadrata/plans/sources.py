@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quadrata.functions.dates import iso_date, month_of_key, parse_date, time_id
+from quadrata.functions.dates import iso_date, month_of_key, time_id, with_dates
 from quadrata.functions.entities import EntityCatalog
 from quadrata.functions.names import normalize_columns, rename_if_absent
 from quadrata.functions.numeric import coerce_numeric, inside_box, stamp, try_double
@@ -176,38 +176,49 @@ class EventSpec:
         ]
 
 
-def derive_events(df: DataFrame, spec: EventSpec) -> DataFrame:
-    """All rows with the derived fields, before any filter.
-
-    The year is the numeric field, else the year of the date; the month is the month of the date, else the
-    month text; the entity is the primary field, else the secondary one. Only fields of the specification
-    are kept, so unused source columns are never read.
-    """
+def _placed(df: DataFrame, spec: EventSpec) -> DataFrame:
+    """All rows with entity, year and month, by which they are kept or not."""
     df = normalize_columns(df)
     absent = {c: F.lit(None).cast("string") for c in spec.inputs() if c not in df.columns}
     df = trim_strings(df.withColumns(absent).select(*spec.inputs()))
-    labels = spec.labels
+    df = with_dates(df, {"_date": spec.date})
+    month = {"_month": F.when(F.col("_date").isNull(), F.col(spec.month))}
+    df = spec.catalog.with_canonical(df, spec.labels.key, spec.entity, spec.fallback_entity, also=month)
     df = df.withColumns(
         {
-            "_date": parse_date(spec.date),
-            spec.start_date: iso_date(parse_date(spec.start_date)),
-            spec.lat: try_double(spec.lat),
-            spec.lon: try_double(spec.lon),
+            spec.clean_year: F.coalesce(try_double(spec.year), F.year("_date")),
+            spec.clean_month: F.coalesce(F.month("_date"), month_of_key(F.col("_month"), spec.month_names)),
         }
     )
-    df = with_text_keys(df, {spec.text_key: spec.text, "_month": spec.month})
-    df = spec.catalog.with_canonical(df, labels.key, spec.entity, spec.fallback_entity)
+    return pin(df.drop("_month"), spec.labels.key, spec.clean_year, spec.clean_month)
+
+
+def _described(placed: DataFrame, spec: EventSpec, keys: Mapping[str, str]) -> DataFrame:
+    """The same rows with all other derived fields; ``keys`` are further text keys."""
+    df = with_dates(placed, {"_start": spec.start_date})
+    df = with_text_keys(df, {spec.text_key: spec.text, **keys})
     df = df.withColumns(
         {
-            spec.clean_year: F.coalesce(try_double(spec.year), F.year("_date")),
-            spec.clean_month: F.coalesce(F.month("_date"), month_of_key(F.col("_month"), spec.month_names)),
             spec.date: iso_date("_date"),
-            labels.name: spec.catalog.name(labels.key),
+            spec.start_date: iso_date("_start"),
+            spec.lat: try_double(spec.lat),
+            spec.lon: try_double(spec.lon),
+            spec.labels.name: spec.catalog.name(spec.labels.key),
             spec.event_class: classify_rules(spec.text_key, spec.rules, spec.default_class),
         }
     )
-    df = df.withColumn(spec.flag, flag_in(spec.event_class, spec.class_columns)).drop("_date", "_month")
-    return pin(df, labels.key, spec.clean_year, spec.clean_month, spec.event_class, spec.flag)
+    df = df.withColumn(spec.flag, flag_in(spec.event_class, spec.class_columns)).drop("_date", "_start")
+    return pin(df, spec.event_class, spec.flag)
+
+
+def derive_events(df: DataFrame, spec: EventSpec) -> DataFrame:
+    """All rows with the derived fields, before any filter.
+
+    The year is the numeric field, else the year of the date; the month is the month of the date, else the
+    month text; the entity is the primary field, else the secondary one. Only fields of the specification
+    are kept, so unused source columns are never read.
+    """
+    return _described(_placed(df, spec), spec, {})
 
 
 def _period_tests(spec: EventSpec):
@@ -247,22 +258,27 @@ def observe_rejects(derived: DataFrame, spec: EventSpec, observation: Observatio
     return derived.observe(observation, *[F.count_if(c).alias(n) for n, c in reject_conditions(spec).items()])
 
 
-def valid_events(derived: DataFrame, spec: EventSpec) -> DataFrame:
-    """Rows of a catalogued entity and a period inside the range, projected to the clean contract."""
+def _kept(placed: DataFrame, spec: EventSpec) -> DataFrame:
+    """Rows of a catalogued entity and a period inside the range."""
     _, inside = _period_tests(spec)
-    kept = derived.where(F.col(spec.labels.key).isNotNull() & inside)
-    kept = kept.withColumns(
+    return placed.where(F.col(spec.labels.key).isNotNull() & inside).withColumns(
         {
             spec.clean_year: F.col(spec.clean_year).cast("int"),
             spec.clean_month: F.col(spec.clean_month).cast("int"),
             spec.subarea: F.coalesce(spec.subarea, spec.fallback_subarea),
         }
     )
-    return with_text_keys(kept, {spec.subarea_key: spec.subarea}).select(*spec.clean_columns())
+
+
+def valid_events(derived: DataFrame, spec: EventSpec) -> DataFrame:
+    """Rows of a catalogued entity and a period inside the range, projected to the clean contract."""
+    return with_text_keys(_kept(derived, spec), {spec.subarea_key: spec.subarea}).select(*spec.clean_columns())
 
 
 def clean_events(df: DataFrame, spec: EventSpec) -> DataFrame:
-    return valid_events(derive_events(df, spec), spec)
+    """The valid events of raw records; fields that do not decide on a row are only derived for the rows that stay."""
+    kept = _kept(_placed(df, spec), spec)
+    return _described(kept, spec, {spec.subarea_key: spec.subarea}).select(*spec.clean_columns())
 
 
 def flagged_events(clean: DataFrame, spec: EventSpec) -> DataFrame:

@@ -3,7 +3,8 @@
 Cells have the diagonal eps, so a cell with ``min_samples`` points holds core points only and its points need
 no comparison with each other. Points of the other cells, fewer than ``min_samples`` per cell, are compared
 with the neighbouring cells. Two core cells are joined if some pair of their core points lies within eps;
-this is decided on shrinking boxes and never by listing the pairs of two crowded cells. Several radii share one forest.
+this is decided on shrinking boxes and never by listing the pairs of two crowded cells. Several radii share one forest,
+and all steps: the grids of all radii stand in one table.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ from quadrata.session import cut_lineage, written
 
 #: Axes along which cells are matched through blocks; the other axes are only compared.
 BLOCK_AXES = 4
+#: Comparisons of points for which two boxes are not made smaller; edges that one task follows to the end.
+FEW, LAST = 256, 1 << 20
 
 
 def _distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
@@ -35,40 +40,53 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Grid:
-    eps: float
+    """The grids of all radii; a cell belongs to one radius, its ``level``."""
+
+    radii: tuple[float, ...]
     dims: int
 
-    @property
-    def side(self) -> float:
+    def side(self, eps: float) -> float:
         # A hair below eps / sqrt(dims): rounding never puts two points of a cell farther apart than eps.
-        return self.eps / math.sqrt(self.dims) * (1 - 1e-9)
+        return eps / math.sqrt(self.dims) * (1 - 1e-9)
 
     @property
     def reach(self) -> int:
-        return math.floor(self.eps / self.side) + 1
+        return max(math.floor(eps / self.side(eps)) + 1 for eps in self.radii)
 
     def cols(self, letter: str) -> list[str]:
         return [f"{letter}{i}" for i in range(self.dims)]
 
+    def celled(self, sites: DataFrame) -> DataFrame:
+        """Every site once per radius, with its level, eps, side and cell coordinates."""
+        levels = F.array(
+            *[
+                F.struct(F.lit(i).alias("level"), F.lit(eps).alias("eps"), F.lit(self.side(eps)).alias("side"))
+                for i, eps in enumerate(self.radii)
+            ]
+        )
+        at = sites.select("*", F.inline(levels))
+        return at.withColumns({c: F.floor(F.col(x) / F.col("side")) for c, x in zip(self.cols("c"), self.cols("x"))})
+
+
+def _cells_and_placed(sites: DataFrame, grid: _Grid) -> tuple[DataFrame, DataFrame]:
+    """The occupied cells with their totals, and the sites with their cell and its total."""
+    cs = grid.cols("c")
+    celled = grid.celled(sites)
+    totals = celled.groupBy("level", "eps", "side", *cs).agg(F.sum("n").alias("members"))
+    cells = written(totals.withColumn("cell", F.monotonically_increasing_id()))
+    return cells, written(celled.join(cells.select("level", *cs, "members", "cell"), ["level", *cs]).drop(*cs))
+
 
 def _sites_and_cells(df: DataFrame, key: str, coords: Sequence[str], grid: _Grid) -> tuple[DataFrame, DataFrame]:
     """Distinct positions (smallest id, multiplicity, cell) and the occupied cells with their totals."""
-    xs, cs = grid.cols("x"), grid.cols("c")
+    xs = grid.cols("x")
     placed = df.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(coords, xs)])
-    sites = (
-        placed.groupBy(*xs)
-        .agg(F.min("id").alias("site"), F.count(F.lit(1)).alias("n"))
-        .withColumns({c: F.floor(F.col(x) / grid.side) for c, x in zip(cs, xs)})
-    )
-    sites = cut_lineage(sites)
-    cells = cut_lineage(
-        sites.groupBy(*cs).agg(F.sum("n").alias("members")).withColumn("cell", F.monotonically_increasing_id())
-    )
-    return cut_lineage(sites.join(cells, cs).drop(*cs)), cells
+    cells, sites = _cells_and_placed(cut_lineage(placed.groupBy(*xs).agg(F.min("id").alias("site"), F.count(F.lit(1)).alias("n"))), grid)
+    return sites, cells
 
 
 def _neighbour_cells(cells: DataFrame, grid: _Grid) -> DataFrame:
-    """Pairs (a, b) of occupied cells whose boxes come within eps, a cell with itself included.
+    """Pairs (a, b, eps) of occupied cells of a level whose boxes come within its eps, a cell with itself included.
 
     Cells are matched through blocks of ``reach`` cells per side along the first axes; neighbours lie in the same
     or an adjacent block. So every cell is copied 3^BLOCK_AXES times at most, whatever the number of coordinates.
@@ -82,48 +100,53 @@ def _neighbour_cells(cells: DataFrame, grid: _Grid) -> DataFrame:
             for shift in itertools.product((-1, 0, 1), repeat=len(axes))
         ]
     )
-    left = cells.select(F.col("cell").alias("a"), *cs, F.inline(shifts)).select(
-        "a",
+    left = cells.select(F.col("cell").alias("a"), "level", "eps", "side", *cs, F.inline(shifts)).select(
+        "a", "level", "eps", "side",
         *[F.col(c).alias(f"a_{c}") for c in cs],
         *[(block + F.col(f"s{i}")).alias(f"k{i}") for i, block in enumerate(blocks)],
-    )
+    )
     right = cells.select(
         F.col("cell").alias("b"),
+        "level",
         *[F.col(c).alias(f"b_{c}") for c in cs],
         *[block.alias(f"k{i}") for i, block in enumerate(blocks)],
     )
     gaps = [F.greatest(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) - 1, F.lit(0)) for c in cs]
-    near = reduce(lambda s, t: s + t, [g * g for g in gaps]) * grid.side**2 <= grid.eps**2 * (1 + 1e-9)
-    return left.join(right, [f"k{i}" for i in axes]).where(near).select("a", "b")
+    side, eps = F.col("side"), F.col("eps")
+    near = reduce(lambda s, t: s + t, [g * g for g in gaps]) * side * side <= eps * eps * (1 + 1e-9)
+    return left.join(right, ["level", *[f"k{i}" for i in axes]]).where(near).select("a", "b", "eps")
 
 
 def _near_sites(some: DataFrame, pairs: DataFrame, others: DataFrame, grid: _Grid) -> DataFrame:
-    """Rows of ``some`` (prefix ``p_``) next to rows of ``others`` (prefix ``q_``) within eps."""
+    """Rows of ``some`` (prefix ``p_``) next to rows of ``others`` (prefix ``q_``) within the radius of their cells."""
     p, q = _prefixed(some, "p_"), _prefixed(others, "q_")
     xs = grid.cols("x")
-    within = _distance([F.col(f"p_{x}") for x in xs], [F.col(f"q_{x}") for x in xs]) <= grid.eps
+    within = _distance([F.col(f"p_{x}") for x in xs], [F.col(f"q_{x}") for x in xs]) <= F.col("eps")
     return p.join(pairs, p["p_cell"] == pairs["a"]).join(q, F.col("b") == q["q_cell"]).where(within)
 
 
-def _core_sites(sites: DataFrame, pairs: DataFrame, grid: _Grid, min_samples: int) -> DataFrame:
-    """Sites with their neighbour count (at least ``min_samples`` for crowded cells) and core flag."""
+def _core_sites(sites: DataFrame, pairs: DataFrame, grid: _Grid, min_samples: int, how: str = "inner") -> DataFrame:
+    """Sites with their core flag at each level; sites of cells of at least ``min_samples`` points are core.
+
+    A site with a coordinate that is no number is not even near itself; it stays if the join is a ``left`` one.
+    """
     crowded = sites.where(F.col("members") >= min_samples)
     sparse = sites.where(F.col("members") < min_samples)
     counted = (
         _near_sites(sparse, pairs, sites, grid)
-        .groupBy(F.col("p_site").alias("site"))
+        .groupBy(F.col("p_level").alias("level"), F.col("p_site").alias("site"))
         .agg(F.sum("q_n").alias("near"))
     )
-    flagged = sparse.join(counted, "site").withColumn("core", F.col("near") >= min_samples).drop("near")
+    near_enough = F.coalesce(F.col("near") >= min_samples, F.lit(False))
+    flagged = sparse.join(counted, ["level", "site"], how).withColumn("core", near_enough).drop("near")
     return crowded.withColumn("core", F.lit(True)).unionByName(flagged)
 
 
-def _boxes(core: DataFrame, grid: _Grid, level: int) -> DataFrame:
-    """Per sub-cell of side / 2^level: one of its points and the box around all of them."""
+def _boxes(core: DataFrame, grid: _Grid, depth: int) -> DataFrame:
+    """Per sub-cell of side / 2^depth: how many points, one of them, and the box around all of them."""
     xs = grid.cols("x")
-    scale = 2.0**level / grid.side
-    indexed = core.select("cell", *xs, *[F.floor(F.col(x) * scale).alias(f"i{j}") for j, x in enumerate(xs)])
-    boxed = indexed.groupBy("cell", *grid.cols("i")).agg(
+    boxed = _indexed(core, grid, depth).groupBy("cell", *grid.cols("i")).agg(
+        F.count(F.lit(1)).alias("points"),
         F.min(F.struct(*xs)).alias("rep"),
         *[F.min(x).alias(f"lo{j}") for j, x in enumerate(xs)],
         *[F.max(x).alias(f"hi{j}") for j, x in enumerate(xs)],
@@ -131,8 +154,16 @@ def _boxes(core: DataFrame, grid: _Grid, level: int) -> DataFrame:
     return boxed.withColumns({f"parent{j}": F.floor(F.col(f"i{j}") / 2) for j in range(grid.dims)})
 
 
+def _indexed(core: DataFrame, grid: _Grid, depth: int) -> DataFrame:
+    scale = F.lit(2.0**depth) / F.col("side")
+    return core.select("cell", *grid.cols("x"), *[F.floor(F.col(x) * scale).alias(i) for i, x in zip(grid.cols("i"), grid.cols("x"))])
+
+
 def _linked_cells(core: DataFrame, pairs: DataFrame, grid: _Grid) -> DataFrame:
-    """Pairs a < b of core cells that hold core points within eps of each other."""
+    """Pairs a < b of core cells that hold core points within eps of each other.
+
+    Two boxes of few points are compared point by point, ``FEW`` comparisons at most; larger ones shrink.
+    """
     xs, dims = grid.cols("x"), range(grid.dims)
     cells = core.select("cell").distinct()
     open_pairs = (
@@ -141,49 +172,88 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, grid: _Grid) -> DataFrame:
         .join(cells.withColumnRenamed("cell", "b"), "b", "left_semi")
     )
     linked: list[DataFrame] = []
-    level = 0
+    depth = 0
     while True:
         busy = core
-        if level:
+        if depth:
             used = open_pairs.select(F.explode(F.array("a", "b")).alias("cell")).distinct()
             busy = core.join(used, "cell", "left_semi")
-        boxes = _boxes(busy, grid, level)
+        boxes = _boxes(busy, grid, depth)
         a, b = _prefixed(boxes, "a_"), _prefixed(boxes, "b_")
-        on_a = [F.col("a") == a["a_cell"], *[F.col(f"ai{j}") == a[f"a_parent{j}"] for j in dims if level]]
-        on_b = [F.col("b") == b["b_cell"], *[F.col(f"bi{j}") == b[f"b_parent{j}"] for j in dims if level]]
+        on_a = [F.col("a") == a["a_cell"], *[F.col(f"ai{j}") == a[f"a_parent{j}"] for j in dims if depth]]
+        on_b = [F.col("b") == b["b_cell"], *[F.col(f"bi{j}") == b[f"b_parent{j}"] for j in dims if depth]]
         gaps = [
             F.greatest(F.col(f"b_lo{j}") - F.col(f"a_hi{j}"), F.col(f"a_lo{j}") - F.col(f"b_hi{j}"), F.lit(0.0))
             for j in dims
         ]
+        hit = _distance([F.col(f"a_rep.{x}") for x in xs], [F.col(f"b_rep.{x}") for x in xs]) <= F.col("eps")
         tested = (
             open_pairs.join(a, on_a)
             .join(b, on_b)
-            .withColumn("_hit", _distance([F.col(f"a_rep.{x}") for x in xs], [F.col(f"b_rep.{x}") for x in xs]) <= grid.eps)
-            .where(F.col("_hit") | (F.sqrt(reduce(lambda s, t: s + t, [g * g for g in gaps])) <= grid.eps))
+            .withColumn("_hit", hit)
+            .where(F.col("_hit") | (F.sqrt(reduce(lambda s, t: s + t, [g * g for g in gaps])) <= F.col("eps")))
             .select(
-                "a", "b", "_hit",
+                "a", "b", "eps", "_hit", (F.col("a_points") * F.col("b_points") <= FEW).alias("_few"),
                 *[F.col(f"a_i{j}").alias(f"ai{j}") for j in dims],
                 *[F.col(f"b_i{j}").alias(f"bi{j}") for j in dims],
             )
         )
         tested = written(tested)
-        found = tested.where("_hit").select("a", "b").distinct()
+        points = _indexed(core, grid, depth)
+        p, q = _prefixed(points, "p_"), _prefixed(points, "q_")
+        few = tested.where("not _hit and _few").drop("_hit", "_few")
+        few = few.join(tested.where("_hit").select("a", "b").distinct(), ["a", "b"], "left_anti")
+        met = few.join(p, [few["a"] == p["p_cell"], *[few[f"ai{j}"] == p[f"p_i{j}"] for j in dims]])
+        met = met.join(q, [met["b"] == q["q_cell"], *[met[f"bi{j}"] == q[f"q_i{j}"] for j in dims]])
+        met = met.where(_distance([F.col(f"p_{x}") for x in xs], [F.col(f"q_{x}") for x in xs]) <= F.col("eps"))
+        found = written(tested.where("_hit").select("a", "b").unionByName(met.select("a", "b")).distinct())
         linked.append(found)
-        open_pairs = tested.where("not _hit").drop("_hit").join(found, ["a", "b"], "left_anti")
+        open_pairs = tested.where("not _hit and not _few").drop("_hit", "_few").join(found, ["a", "b"], "left_anti")
         if open_pairs.isEmpty():
             return reduce(DataFrame.unionByName, linked)
-        level += 1
+        depth += 1
+
+
+def _least_of_component(batches):
+    """(root, parent): every node of the links of one task, and the smallest node of its component."""
+    links = [np.stack([b.column(c).to_numpy() for c in ("a", "b")]) for b in batches if b.num_rows]
+    if not links:
+        return
+    nodes, places = np.unique(np.concatenate(links, axis=1), return_inverse=True)
+    a, b = places.reshape(2, -1)
+    least = np.arange(len(nodes))
+    while True:
+        lower = np.minimum(least[a], least[b])
+        hooked = least.copy()
+        for end in (a, b):
+            np.minimum.at(hooked, least[end], lower)
+            np.minimum.at(hooked, end, lower)
+        while (hooked[hooked] != hooked).any():
+            hooked = hooked[hooked]
+        if (hooked == least).all():
+            break
+        least = hooked
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[least])], ["root", "parent"])
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, label) with one label per component; ``edges`` has columns a, b.
+    """(node, label) with one label per component, its smallest node; ``edges`` has columns a, b.
 
     Every round hooks each root to its smallest neighbouring root, flattens the chains by doubling and
-    contracts the edges. At least half of the roots that still have edges vanish per round.
+    contracts the edges. At least half of the roots that still have edges vanish per round. Once ``LAST`` edges are
+    left, which fit into one task whatever the size of the table, that task follows them to the end.
     """
     labels = nodes.select("node", F.col("node").alias("label"))
     links = written(edges.select("a", "b").where("a <> b").distinct())
-    while not links.isEmpty():
+
+    def relabel(df: DataFrame, col: str, parents: DataFrame) -> DataFrame:
+        step = parents.select(F.col("root").alias(col), F.col("parent").alias("_p"))
+        return df.join(step, col, "left").withColumn(col, F.coalesce("_p", col)).drop("_p")
+
+    while left := links.count():
+        if left <= LAST and dict(links.dtypes) == {"a": "bigint", "b": "bigint"}:
+            parents = links.repartition(1).mapInArrow(_least_of_component, "root bigint, parent bigint")
+            return written(relabel(labels, "label", parents))
         parents = written(
             links.select(F.greatest("a", "b").alias("root"), F.least("a", "b").alias("parent"))
             .groupBy("root")
@@ -199,13 +269,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             parents = doubled.drop("_moved")
             if doubled.where("_moved").isEmpty():
                 break
-
-        def relabel(df: DataFrame, col: str, parents=parents) -> DataFrame:
-            step = parents.select(F.col("root").alias(col), F.col("parent").alias("_p"))
-            return df.join(step, col, "left").withColumn(col, F.coalesce("_p", col)).drop("_p")
-
-        labels = written(relabel(labels, "label"))
-        links = written(relabel(relabel(links, "a"), "b").where("a <> b").distinct())
+        labels = written(relabel(labels, "label", parents))
+        links = written(relabel(relabel(links, "a", parents), "b", parents).where("a <> b").distinct())
     return labels
 
 
@@ -247,7 +312,7 @@ def dbscan(df: DataFrame, key: str, coords: Sequence[str], eps: float, min_sampl
 def _checked_grid(coords: Sequence[str], eps: float) -> _Grid:
     if not coords or eps <= 0:
         raise ValueError("DBSCAN needs a positive eps and at least one coordinate")
-    return _Grid(float(eps), len(coords))
+    return _Grid((float(eps),), len(coords))
 
 
 def _back_to_rows(df: DataFrame, key: str, coords: Sequence[str], grid: _Grid, sites: DataFrame) -> DataFrame:
@@ -272,59 +337,42 @@ class RadiusForest:
 
 
 def radius_forest(df: DataFrame, key: str, coords: Sequence[str], radii: Sequence[float], min_samples: int = 3) -> RadiusForest:
-    """DBSCAN for several radii: the forest grows from the smallest radius to the largest.
+    """DBSCAN for several radii, each on a grid of its own, in one series of jobs whatever their number.
 
-    Being core and belonging together carry over to every larger radius. So a radius only counts the neighbours of sites
-    that were not core before, and only compares cells whose sites do not all belong together yet.
+    Being core and belonging together carry over to every larger radius, so the smallest core sites of the clusters of a
+    site, from radius to radius, are a path of the forest.
     """
     levels = tuple(sorted({float(r) for r in radii}))
     if not levels:
         raise ValueError("DBSCAN needs at least one radius")
     xs = _checked_grid(coords, levels[0]).cols("x")
+    grid = _Grid(levels, len(coords))
     rows = df.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(x) for c, x in zip(coords, xs)])
     places = cut_lineage(rows.groupBy(*xs).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
-    sites = dense_key(places, ["first"], "site").drop("first").select(
-        *xs, "site", "n", F.lit(None).cast("int").alias("core"), F.lit(None).cast("bigint").alias("root"), F.array().cast("array<bigint>").alias("labels")
-    )
-    sites = cut_lineage(sites)
-    edges: list[DataFrame] = []
-    for level, eps in enumerate(levels):
-        grid = _Grid(eps, len(coords))
-        cs = grid.cols("c")
-        celled = sites.withColumns({c: F.floor(F.col(x) / grid.side) for c, x in zip(cs, xs)})
-        cells = written(celled.groupBy(*cs).agg(F.sum("n").alias("members")).withColumn("cell", F.monotonically_increasing_id()))
-        placed = written(celled.join(cells, cs).drop(*cs))
-        pairs = written(_neighbour_cells(cells, grid))
-        flagged = written(_flagged(placed, pairs, grid, min_samples, level))
-        core = flagged.where("core is not null")
-        spans = written(core.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")))
-        inner = core.join(spans, "cell").where("root <> lo").select(F.col("root").alias("a"), F.col("lo").alias("b"))
-        left, right = _prefixed(spans, "a_"), _prefixed(spans, "b_")
-        apart = F.greatest("a_hi", "b_hi") != F.least("a_lo", "b_lo")
-        open_pairs = pairs.where("a < b").join(left, F.col("a") == F.col("a_cell")).join(right, F.col("b") == F.col("b_cell")).where(apart)
-        linked = _linked_cells(core, written(open_pairs.select("a", "b")), grid)
-        outer = linked.join(left, F.col("a") == F.col("a_cell")).join(right, F.col("b") == F.col("b_cell"))
-        links = inner.unionByName(outer.select(F.col("a_lo").alias("a"), F.col("b_lo").alias("b")))
-        merged = connected_components(core.select(F.col("root").alias("node")).distinct(), links)
-        edges.append(merged.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"), F.lit(eps).alias("radius")))
-        moved = written(flagged.join(merged, F.col("root") == F.col("node"), "left").withColumn("root", F.col("label")).drop("node", "label"))
-        border = _near_sites(moved.where("core is null"), pairs, moved.where("core is not null"), grid)
-        border = border.groupBy(F.col("p_site").alias("site")).agg(F.min("q_root").alias("beside"))
-        label = F.coalesce("root", "beside", F.lit(-1))
-        named = moved.join(border, "site", "left").withColumn("labels", F.array_append("labels", label))
-        sites = written(named.select(*xs, "site", "n", "core", "root", "labels"))
-    return RadiusForest(levels, sites.drop("root"), reduce(DataFrame.unionByName, edges))
-
-
-def _flagged(placed: DataFrame, pairs: DataFrame, grid: _Grid, min_samples: int, level: int) -> DataFrame:
-    """Sites that become core at this level get it as their ``core``, and are a ``root`` of their own."""
-    still = placed.where("core is null")
-    crowded = still.where(F.col("members") >= min_samples).select("site")
-    sparse = still.where(F.col("members") < min_samples)
-    counted = _near_sites(sparse, pairs, placed, grid).groupBy(F.col("p_site").alias("site")).agg(F.sum("q_n").alias("near"))
-    fresh = crowded.unionByName(counted.where(F.col("near") >= min_samples).select("site")).withColumn("_new", F.lit(level))
-    flagged = placed.join(fresh, "site", "left").withColumn("core", F.coalesce("core", "_new"))
-    return flagged.withColumn("root", F.coalesce("root", F.when(F.col("core").isNotNull(), F.col("site")))).drop("_new")
+    sites = cut_lineage(dense_key(places, ["first"], "site").select(*xs, "site", "n"))
+    cells, placed = _cells_and_placed(sites, grid)
+    pairs = written(_neighbour_cells(cells, grid))
+    flagged = written(_core_sites(placed, pairs, grid, min_samples, "left"))
+    core = flagged.where("core")
+    linked = _linked_cells(core, pairs, grid)
+    merged = connected_components(core.select(F.col("cell").alias("node")).distinct(), linked)
+    labelled = core.join(merged.withColumnRenamed("node", "cell"), "cell")
+    rooted = written(labelled.join(labelled.groupBy("label").agg(F.min("site").alias("root")), "label").drop("label"))
+    border = _near_sites(flagged.where("not core"), pairs, rooted, grid)
+    border = border.groupBy(F.col("p_level").alias("level"), F.col("p_site").alias("site")).agg(F.min("q_root").alias("root"))
+    beside = flagged.where("not core").join(border, ["level", "site"], "left")
+    columns = [*xs, "site", "n", "level", "core", "root"]
+    every = rooted.select(*columns).unionByName(beside.select(*columns))
+    at = [F.col("level") == i for i in range(len(levels))]
+    named = every.groupBy(*xs, "site", "n").agg(
+        F.min(F.when(F.col("core"), F.col("level"))).alias("core"),
+        F.array(*[F.coalesce(F.max(F.when(here, F.col("root"))), F.lit(-1)) for here in at]).alias("labels"),
+    )
+    named = written(named)
+    before = F.when(F.col("level") == F.col("core"), F.col("site")).otherwise(F.get("labels", F.col("level") - 1))
+    steps = named.where("core is not null").select("site", "core", "labels", F.explode(F.sequence("core", F.lit(len(levels) - 1))).alias("level"))
+    steps = steps.select(before.alias("a"), F.get("labels", F.col("level")).alias("b"), F.get(F.array(*map(F.lit, levels)), F.col("level")).alias("radius"))
+    return RadiusForest(levels, named, steps.where("a <> b").distinct())
 
 
 def dbscan_sweep(
